@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +58,18 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     return existed
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """For ``insertInto``, which ignores the writer option of the same name."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def replace_table(
     df: DataFrame, table: str, partition: str = ELECTION, path: str | None = None
 ) -> None:
@@ -64,9 +77,8 @@ def replace_table(
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         names = spark.table(table).columns
-        df.select(*[col(n) for n in names]).write.option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(table, overwrite=True)
+        with _dynamic_overwrite(spark):
+            df.select(*[col(n) for n in names]).write.insertInto(table, overwrite=True)
         return
     writer = df.write.format("parquet").partitionBy(partition)
     if path is not None:
