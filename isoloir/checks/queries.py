@@ -347,7 +347,7 @@ def quantile_class_ties(spark, sf):
 def quantile_class_many_rounds(spark, sf):
     """The same result with few buckets per round, as many rounds as it takes."""
     lineitem = table(spark, sf, "lineitem").select("l_extendedprice")
-    counted = _classified(lineitem, "l_extendedprice", buckets=8).groupBy("colour_class")
+    counted = _classified(lineitem, "l_extendedprice", buckets=64, few_rows=0).groupBy("colour_class")
     return counted.agg(
         F.count("*").alias("stations"),
         F.min("l_extendedprice").alias("low"),

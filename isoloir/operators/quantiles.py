@@ -2,11 +2,13 @@
 
 ``percentile`` keeps every distinct value in one aggregation buffer and merges
 all of them in one task. Here each round is a grouped count over at most
-``BUCKETS`` equal-width buckets per open range, so what is shuffled and what
+``BUCKETS`` equal-width buckets per open span, so what is shuffled and what
 any task holds is bounded. A round finds the buckets that hold the wanted
 ranks; the next one divides only the span of values really seen in them, until
-each wanted rank is a bucket's smallest or largest value. Rates with two
-decimals need one round; a trillion different doubles need about four.
+each wanted rank is a bucket's smallest or largest value. A span known to hold
+few rows is counted value by value, which ends it. Rates with two decimals
+need one round however many rows there are; a trillion different doubles need
+three.
 """
 
 from __future__ import annotations
@@ -21,28 +23,36 @@ from pyspark.sql import functions as F
 from isoloir.functions.columns import ColumnOrName, column
 
 BUCKETS = 16_384
+# A span of no more rows than this is counted by value instead of by bucket.
+FEW_ROWS = 100_000
 
 
 @dataclass(frozen=True)
 class _Span:
-    """Values from ``low`` to ``high`` hold these ranks; ``below`` rows are smaller."""
+    """The rows with values from ``low`` to ``high`` and the ranks wanted there.
+
+    ``below`` rows have smaller values than ``low``.
+    """
 
     low: float
     high: float
+    rows: int
     below: int
     ranks: tuple[int, ...]
 
     def holds(self, v: Column) -> Column:
         return v.between(self.low, self.high)
 
-    def bucket(self, v: Column, buckets: int) -> Column:
+    def bucket(self, v: Column, buckets: int, few_rows: int) -> Column:
+        if self.rows <= few_rows:
+            return v
         # Never decreasing in v; low is in bucket 0 and high in the last one,
         # so every round separates them.
         if math.isinf(self.high - self.low):
             share = (v / 2 - self.low / 2) / (self.high / 2 - self.low / 2)
         else:
             share = (v - self.low) / (self.high - self.low)
-        return F.floor(share * buckets).cast("int")
+        return F.floor(share * buckets).cast("double")
 
 
 def numbers_of(df: DataFrame, c: ColumnOrName) -> DataFrame:
@@ -53,34 +63,41 @@ def numbers_of(df: DataFrame, c: ColumnOrName) -> DataFrame:
 
 
 def order_statistics(
-    values: DataFrame, ranks: Sequence[int], low: float, high: float, buckets: int = BUCKETS
+    values: DataFrame,
+    ranks: Sequence[int],
+    count: int,
+    low: float,
+    high: float,
+    buckets: int = BUCKETS,
+    few_rows: int = FEW_ROWS,
 ) -> dict[int, float]:
     """The values at the given 0-based ranks of column ``v``.
 
-    ``low`` and ``high`` are the column's smallest and largest value. Only the
-    few rows that describe the buckets hit by a rank reach the driver.
+    ``count``, ``low`` and ``high`` are the column's number of rows, smallest
+    and largest value. Only the few rows that describe the buckets hit by a
+    rank reach the driver.
     """
     found: dict[int, float] = {}
-    spans = [_Span(low, high, 0, tuple(sorted(set(ranks))))]
+    spans = [_Span(low, high, count, 0, tuple(sorted(set(ranks))))]
     while spans:
         for span in spans:
             if span.low == span.high:
                 found.update(dict.fromkeys(span.ranks, span.low))
         spans = [s for s in spans if s.low != s.high]
         if spans:
-            spans = _next_spans(values, spans, buckets, found)
+            spans = _next_spans(values, spans, buckets, few_rows, found)
     return found
 
 
 def _next_spans(
-    values: DataFrame, spans: list[_Span], buckets: int, found: dict[int, float]
+    values: DataFrame, spans: list[_Span], buckets: int, few_rows: int, found: dict[int, float]
 ) -> list[_Span]:
     v = F.col("v")
     # Spans never overlap: each is what one bucket of an earlier round held.
     number = place = None
     for i, span in enumerate(spans):
         inside = span.holds(v)
-        here = span.bucket(v, buckets)
+        here = span.bucket(v, buckets, few_rows)
         number = F.when(inside, i) if number is None else number.when(inside, i)
         place = F.when(inside, here) if place is None else place.when(inside, here)
     kept = spans[0].holds(v)
@@ -92,7 +109,7 @@ def _next_spans(
         .groupBy(number.alias("span"), place.alias("bucket"))
         .agg(F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
-    # At most buckets + 1 rows per span are ordered here.
+    # At most buckets + 1 (or few_rows) counted rows per span are ordered here.
     upto = F.sum("rows").over(Window.partitionBy("span").orderBy("bucket"))
     hit = F.lit(False)
     for i, span in enumerate(spans):
@@ -119,7 +136,7 @@ def _next_spans(
             elif first < rank < last:
                 pending.append(rank)
         if pending:
-            rest.append(_Span(row["low"], row["high"], first, tuple(pending)))
+            rest.append(_Span(row["low"], row["high"], row["rows"], first, tuple(pending)))
     return rest
 
 
@@ -131,6 +148,7 @@ def quantile_thresholds(
     low: float | None = None,
     high: float | None = None,
     buckets: int = BUCKETS,
+    few_rows: int = FEW_ROWS,
 ) -> tuple[float, ...]:
     """The ``classes - 1`` cut points, interpolated linearly between neighbours.
 
@@ -145,7 +163,7 @@ def quantile_thresholds(
         return ()
     places = [(count - 1) * (k / classes) for k in range(1, classes)]
     ranks = {r for p in places for r in (math.floor(p), math.ceil(p))}
-    at = order_statistics(values, sorted(ranks), low, high, buckets)
+    at = order_statistics(values, sorted(ranks), count, low, high, buckets, few_rows)
     cuts = []
     for place in places:
         left, right = at[math.floor(place)], at[math.ceil(place)]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isoloir.functions.columns import ColumnOrName, column
 from isoloir.functions.scales import COLOURS, class_colour, linear_size, quantile_class
-from isoloir.operators.quantiles import BUCKETS, approximate_thresholds, quantile_thresholds
+from isoloir.operators.quantiles import approximate_thresholds, quantile_thresholds
 from isoloir.schema import LATITUDE, LONGITUDE, RATE, REGISTERED
 
 
@@ -68,7 +68,6 @@ def fit_scales(
     longitude: ColumnOrName = LONGITUDE,
     classes: int = len(COLOURS),
     accuracy: int | None = None,
-    buckets: int = BUCKETS,
 ) -> LayerScales:
     """The scales of exactly these rows.
 
@@ -91,7 +90,7 @@ def fit_scales(
         F.max(lon).alias("east"),
     ).first()
     if accuracy is None:
-        cuts = quantile_thresholds(df, rate, classes, row["n"], row["low"], row["high"], buckets)
+        cuts = quantile_thresholds(df, rate, classes, row["n"], row["low"], row["high"])
     else:
         cuts = approximate_thresholds(df, rate, classes, accuracy)
     return LayerScales(
