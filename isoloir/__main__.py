@@ -6,6 +6,9 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
+
+from pyspark.sql import SparkSession
 
 from isoloir.plans.build import read_election
 from isoloir.schema import CODE, COMMUNE, ELECTIONS
@@ -13,21 +16,21 @@ from isoloir.session import session_builder
 from isoloir.sinks.tables import replace_stations
 
 
-def main() -> None:
-    parser = argparse.ArgumentParser(prog="isoloir", description=__doc__)
+def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(prog="isoloir", description="Build a station table.")
     parser.add_argument("year", type=int, choices=sorted(ELECTIONS))
     parser.add_argument("--export", required=True, help="results export, ';' separated")
     parser.add_argument("--official", required=True, help="official results, ';' separated")
     parser.add_argument("--geo", required=True, help="geo table, CSV, plain or gzipped")
     parser.add_argument("--out", required=True, help="station table, one folder per election")
     parser.add_argument("--cluster", action="store_true", help="cluster files by commune")
-    args = parser.parse_args()
+    return parser.parse_args(argv)
+
 
-    spark = session_builder(f"stations {args.year}").getOrCreate()
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     stations = read_election(spark, ELECTIONS[args.year], args.export, args.official, args.geo)
     replace_stations(stations, args.out, cluster_by=(CODE, COMMUNE) if args.cluster else ())
-    spark.stop()
 
 
 if __name__ == "__main__":
-    main()
+    run(session_builder("stations").getOrCreate(), arguments())

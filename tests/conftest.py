@@ -55,6 +55,9 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.checkpoint.dir", str(scratch))
+        # Plans are read as text; do not shorten it.
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .getOrCreate()
     )
@@ -112,10 +115,8 @@ def plan_of(df) -> str:
 
 def executed_plan(df) -> str:
     """The final adaptive plan, after running the query."""
-    df.write.format("noop").mode("overwrite").save()
-    query = df._jdf.queryExecution()
-    query.executedPlan().execute().count()
-    return query.executedPlan().toString()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def values(spark, *texts, name="x"):
