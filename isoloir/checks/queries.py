@@ -25,7 +25,7 @@ from isoloir.operators import (
     where_prefix,
 )
 from isoloir.plans.build import build_stations
-from isoloir.plans.layers import SHOWN_RATE, TOOLTIP, map_layer, national_layer
+from isoloir.plans.layers import SHOWN_RATE, map_layer, national_layer, points
 from isoloir.plans.questions import (
     commune_pairs,
     communes_by_department,
@@ -37,7 +37,7 @@ from isoloir.plans.questions import (
 from isoloir.schema import ELECTION, FRANCE_2017, FRANCE_2022, NA_TOKENS, SourceSpec
 from isoloir.session import scratch_folder
 from isoloir.sinks import ensure_database, replace_stations, replace_table, save_layer
-from isoloir.sources import clean_copy, read_delimited
+from isoloir.sources import clean_copy, read_delimited, read_stations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -405,6 +405,14 @@ PLAIN = {
 }
 
 
+def _stored(spark, sf, *years):
+    """The elections' stations, built, written and read back as one table."""
+    path = scratch_folder(spark, "stations")
+    for year in years:
+        replace_stations(_stations(spark, sf, year), path)
+    return path
+
+
 def build_2017(spark, sf):
     return _stations(spark, sf, 2017).withColumnsRenamed(PLAIN)
 
@@ -414,24 +422,25 @@ def build_2022(spark, sf):
 
 
 def flagship(spark, sf):
-    """Build 2017, choose communes, and colour and size what is chosen."""
-    chosen = stations_in(_stations(spark, sf, 2017), ["BUILDING", "MACHINERY", "Paris", ""])
+    """Build and store 2017, choose communes, colour and size what is chosen."""
+    stations = read_stations(spark, _stored(spark, sf, 2017), 2017)
+    chosen = stations_in(stations, ["BUILDING", "MACHINERY", "Paris", ""])
     return map_layer(chosen).withColumnsRenamed(PLAIN)
 
 
 def department_layer(spark, sf):
-    return map_layer(in_department(_stations(spark, sf, 2017), "07")).withColumnsRenamed(PLAIN)
+    stations = read_stations(spark, _stored(spark, sf, 2017), 2017)
+    return map_layer(in_department(stations, "07")).withColumnsRenamed(PLAIN)
 
 
 def metropolitan_layer(spark, sf):
-    """Nations coded 1x and 2x lie outside."""
-    inside = metropolitan(_stations(spark, sf, 2022), outside=("1", "2"))
-    return map_layer(inside).withColumnsRenamed(PLAIN)
+    """One of two stored elections; nations coded 1x and 2x lie outside."""
+    stations = read_stations(spark, _stored(spark, sf, 2017, 2022), 2022)
+    return map_layer(metropolitan(stations, outside=("1", "2"))).withColumnsRenamed(PLAIN)
 
 
 def tooltip_points(spark, sf):
-    layer = map_layer(_stations(spark, sf, 2022)).select("latitude", "longitude", *TOOLTIP)
-    return layer.withColumnsRenamed(PLAIN)
+    return points(_stations(spark, sf, 2022)).withColumnsRenamed(PLAIN)
 
 
 # Sources and sinks
@@ -483,7 +492,8 @@ def table_in_database(spark, sf):
 
 def saved_layer(spark, sf):
     path = scratch_folder(spark, "layer")
-    save_layer(map_layer(metropolitan(_stations(spark, sf, 2017), outside=("2",))), path)
+    stations = read_stations(spark, _stored(spark, sf, 2017), 2017)
+    save_layer(map_layer(metropolitan(stations, outside=("2",))), path)
     return national_layer(spark, saved=path).withColumnsRenamed(PLAIN)
 
 
@@ -512,6 +522,16 @@ def delimited_roundtrip(spark, sf):
     return _typed_customer(read_delimited(spark, path, spec))
 
 
+def cr_split_records(spark, sf):
+    """CRLF records split at CR: the line feed left in front is taken off."""
+    path = scratch_folder(spark, "cr")
+    parts = table(spark, sf, "part").select(text("p_partkey").alias("code"), "p_name")
+    parts.write.options(header=True, sep=";", lineSep="\r\n").csv(path)
+    spec = SourceSpec(columns=("code", "p_name"), line_sep="\r")
+    rows = drop_incomplete(read_delimited(spark, path, spec))
+    return rows.select(fn.drop_first_char("code").cast("bigint").alias("p_partkey"), "p_name")
+
+
 def compressed_roundtrip(spark, sf):
     path = scratch_folder(spark, "compressed")
     _customer_text(spark, sf).write.options(header=True, compression="gzip", escape='"').csv(path)
@@ -610,6 +630,7 @@ QUERIES: dict[str, Query] = {
     "table_in_database": table_in_database,
     "saved_layer": saved_layer,
     "delimited_roundtrip": delimited_roundtrip,
+    "cr_split_records": cr_split_records,
     "compressed_roundtrip": compressed_roundtrip,
     "latin1_roundtrip": latin1_roundtrip,
     "ragged_rows": ragged_rows,

@@ -260,6 +260,7 @@ ORACLE: dict[str, str] = {
         stations=STATIONS_2017, where="NOT regexp_matches(code, '^2')"
     ),
     "delimited_roundtrip": CUSTOMER,
+    "cr_split_records": "SELECT p_partkey, p_name FROM part",
     "compressed_roundtrip": CUSTOMER,
     "latin1_roundtrip": "SELECT p_partkey, 'pièce ' || p_name AS name FROM part",
     "ragged_rows": """

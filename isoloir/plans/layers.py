@@ -25,18 +25,24 @@ TOOLTIP = (SHOWN_RATE, ABSTENTIONS, REGISTERED, DEPARTMENT, COMMUNE, ADDRESS)
 CHANNELS = ("colour_class", "colour", "stroke_colour", "size")
 
 
+def points(stations: DataFrame) -> DataFrame:
+    """Position and tooltip fields, the rate under its display name."""
+    shown = stations.withColumnRenamed(RATE, SHOWN_RATE)
+    return shown.select(*[col(c) for c in (LATITUDE, LONGITUDE, *TOOLTIP)])
+
+
 def map_layer(
     stations: DataFrame, scales: LayerScales | None = None, accuracy: int | None = None
 ) -> DataFrame:
     """Points with tooltip fields and visual channels for these stations.
 
-    The scales belong to the rows shown, so they are fitted on them (small
-    aggregate jobs) unless given.
+    The scales belong to the rows shown, so they are fitted on them (a few
+    aggregates over two or three columns) unless given. Ask of a stored table:
+    an unstored build would be computed again by each of them.
     """
     if scales is None:
         scales = fit_scales(stations, accuracy=accuracy)
-    shown = apply_scales(stations, scales).withColumnRenamed(RATE, SHOWN_RATE)
-    return shown.select(*[col(c) for c in (LATITUDE, LONGITUDE, *TOOLTIP, *CHANNELS)])
+    return apply_scales(points(stations), scales, SHOWN_RATE, REGISTERED)
 
 
 def national_layer(

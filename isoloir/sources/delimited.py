@@ -25,8 +25,10 @@ def read_delimited(spark: SparkSession, path: str, spec: SourceSpec) -> DataFram
         mode="PERMISSIVE",
         escape='"',
         multiLine=spec.multiline,
-        # The header is matched by name below; nothing is inferred.
         inferSchema=False,
+        # Names are looked up in one header. In a folder of files, a file whose
+        # wanted columns stand elsewhere fails instead of being misread.
+        enforceSchema=spec.columns is None,
     )
     if spec.line_sep is not None:
         reader = reader.option("lineSep", spec.line_sep)
