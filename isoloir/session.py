@@ -23,6 +23,8 @@ def session_builder(app: str = "isoloir", scan_block: str = "128MB") -> SparkSes
         # replaces sort-merge by broadcast joins on measured sizes.
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Hash instead of sort once every measured build partition is this small.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         # Do not look up the Python call site of every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")

@@ -34,8 +34,8 @@ def replace_stations(
 
     Elections that ``df`` does not hold stay as they are. Without
     ``cluster_by`` there is no shuffle; with it, one shuffle at build time lets
-    later reads by those columns skip row groups. Never pass a ``df`` that
-    reads ``path`` itself.
+    later reads by those columns skip row groups. The replaced files go when
+    the whole job commits. Never pass a ``df`` that reads ``path`` itself.
     """
     (
         _clustered(df, partition, cluster_by)
@@ -99,7 +99,10 @@ def write_stations_jdbc(
     connections: int = 42,
     batch_size: int = 10_000,
 ) -> None:
-    """Replace a relational table; at most ``connections`` tasks write at once."""
+    """Replace a relational table; at most ``connections`` tasks write at once.
+
+    Spark drops and refills the table, so readers see it part-filled meanwhile.
+    """
     (
         df.write.mode("overwrite")
         .option("numPartitions", connections)
