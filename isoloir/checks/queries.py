@@ -76,11 +76,15 @@ def ordered_projection(spark, sf):
     return renamed.select("name", "code", "c_acctbal")
 
 
+def _with_comma(c: str):
+    return F.replace(text(c), F.lit("."), F.lit(","))
+
+
 def decimal_comma(spark, sf):
     return table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        fn.decimal_comma(F.translate(text("l_extendedprice"), ".", ",")).alias("price"),
+        fn.decimal_comma(_with_comma("l_extendedprice")).alias("price"),
     )
 
 
@@ -506,7 +510,7 @@ def _customer_text(spark, sf):
         "c_name",
         text("c_custkey").alias("c_custkey"),
         text("c_nationkey").alias("c_nationkey"),
-        F.translate(text("c_acctbal"), ".", ",").alias("c_acctbal"),
+        _with_comma("c_acctbal").alias("c_acctbal"),
     )
 
 

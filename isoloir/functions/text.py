@@ -22,8 +22,12 @@ def default_null(c: ColumnOrName, value: str) -> Column:
 
 
 def decimal_comma(c: ColumnOrName) -> Column:
-    """``'20,53'`` as the double 20.53; text that is no number raises."""
-    return F.translate(column(c), ",", ".").cast("double")
+    """``'20,53'`` as the double 20.53; text that is no number raises.
+
+    ``replace`` searches bytes; ``translate`` looks up every character and is
+    several times slower.
+    """
+    return F.replace(column(c).cast("string"), F.lit(","), F.lit(".")).cast("double")
 
 
 def _packed_part(c: ColumnOrName, index: int, on_bad: str) -> Column:

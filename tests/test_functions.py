@@ -25,6 +25,7 @@ def test_last_chars(spark):
 
 def test_decimal_comma(spark):
     df = values(spark, "20,53", "20", "20.5", " 7,5 ", None)
+    assert one(spark.sql("select 2.5D x"), fn.decimal_comma("x")) == [2.5]
     assert one(df, fn.decimal_comma("x")) == [20.53, 20.0, 20.5, 7.5, None]
     with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
         one(values(spark, "n.c."), fn.decimal_comma("x"))
