@@ -12,15 +12,25 @@ TURNOUT = """
          AS DOUBLE) AS rate
 """
 
-# A station number below 100 is padded to three digits only and finds no place.
+# The key is padded by one zero at most on the results' side and cut to two and
+# two characters on the places' side, so short station numbers find no place.
 REBUILT = f"""
-  SELECT CAST(s_suppkey // 10000 AS VARCHAR) AS code, 'Paris' AS department, 'Paris' AS commune,
-         {TURNOUT.format(k='s_suppkey')},
-         s_acctbal AS latitude, CAST(s_nationkey AS DOUBLE) AS longitude,
-         'Paris (' || CAST(s_suppkey // 10000 AS VARCHAR) || ')' AS label,
-         CASE WHEN s_nationkey <> 4 THEN s_name END AS address
-  FROM supplier
-  WHERE s_acctbal >= 0 AND s_nationkey <> 3 AND s_suppkey % 10000 >= 100
+  SELECT code, 'Paris' AS department, 'Paris' AS commune, registered, abstentions, rate,
+         latitude, longitude, 'Paris (' || code || ')' AS label, address
+  FROM (
+    SELECT CAST(s_suppkey // 10000 AS VARCHAR) AS code, {TURNOUT.format(k='s_suppkey')},
+           CAST(s_suppkey // 10000 AS VARCHAR) || '-'
+           || CASE WHEN s_nationkey < 10 THEN '0' ELSE '' END || CAST(s_nationkey AS VARCHAR) || '_'
+           || CASE WHEN length(CAST(s_suppkey % 10000 AS VARCHAR)) < 4 THEN '0' ELSE '' END
+           || CAST(s_suppkey % 10000 AS VARCHAR) AS station_key
+    FROM supplier WHERE s_acctbal >= 0) AS results
+  JOIN (
+    SELECT s_acctbal AS latitude, CAST(s_nationkey AS DOUBLE) AS longitude,
+           CASE WHEN s_nationkey <> 4 THEN s_name END AS address,
+           CAST(s_suppkey // 10000 AS VARCHAR) || '-'
+           || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') || '_'
+           || lpad(CAST(s_suppkey % 10000 AS VARCHAR), 4, '0') AS station_key
+    FROM supplier WHERE s_nationkey <> 3) AS places USING (station_key)
 """
 
 EXPORTED = f"""

@@ -100,7 +100,8 @@ def test_large_sides_are_not_broadcast(spark):
         assert "SortMergeJoin" in executed_plan(df)
 
 
-def test_a_key_with_a_third_of_the_rows_is_split(spark):
+@pytest.mark.parametrize("hash_below,join", [("0b", "SortMergeJoin"), ("64MB", "ShuffledHashJoin")])
+def test_a_key_with_a_third_of_the_rows_is_split(spark, hash_below, join):
     lineitem = table(spark, "lineitem").select(
         F.when(F.col("l_linenumber") <= 2, F.lit(1)).otherwise(F.col("l_orderkey")).alias("k"),
         F.concat(*[F.sha2(F.concat("l_extendedprice", F.lit(i)), 256) for i in range(4)]).alias(
@@ -111,6 +112,7 @@ def test_a_key_with_a_third_of_the_rows_is_split(spark):
     small = dict(
         autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__maxShuffledHashJoinLocalMapThreshold=hash_below,
         adaptive__advisoryPartitionSizeInBytes="16KB",
         adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
         adaptive__skewJoin__skewedPartitionFactor="2",
@@ -127,7 +129,7 @@ def test_a_key_with_a_third_of_the_rows_is_split(spark):
             ("o_totalprice",),
         )
         plan = executed_plan(df)
-        assert "SortMergeJoin(skew=true)" in plan
+        assert f"{join}(skew=true)" in plan
         assert df.count() == lineitem.count()
 
 
