@@ -261,6 +261,16 @@ def stations_in_pairs(spark, sf):
     return stations_in(customer, pairs, "c_mktsegment", "nation")
 
 
+def stations_in_pair_table(spark, sf):
+    """Each nation is chosen with one segment of its own, by a table of pairs."""
+    segment = F.when(F.col("n_regionkey") < 2, "BUILDING").otherwise("FURNITURE")
+    chosen = table(spark, sf, "nation").select(text("n_nationkey").alias("n"), segment.alias("s"))
+    customer = table(spark, sf, "customer").select(
+        "c_custkey", text("c_nationkey").alias("nation"), "c_mktsegment"
+    )
+    return stations_in(customer, chosen, "c_mktsegment", "nation")
+
+
 def stations_in_table(spark, sf):
     """The chosen nations come as a table: a semi-join that ignores repeats."""
     chosen = table(spark, sf, "nation").where("n_regionkey = 2").select("n_name")
@@ -339,12 +349,14 @@ def quantile_cuts(spark, sf):
 
 
 def quantile_class(spark, sf):
-    return _classified(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return _classified(orders, "o_totalprice")
 
 
 def quantile_class_ties(spark, sf):
     lineitem = table(spark, sf, "lineitem").select("l_discount")
-    counted = _classified(lineitem, "l_discount").groupBy("l_discount", "colour_class", "colour")
+    classified = _classified(lineitem, "l_discount")
+    counted = classified.groupBy("l_discount", "colour_class", "colour")
     return counted.agg(F.count("*").alias("stations"))
 
 
@@ -615,6 +627,7 @@ QUERIES: dict[str, Query] = {
     "stations_in": stations_in_communes,
     "stations_in_pairs": stations_in_pairs,
     "stations_in_table": stations_in_table,
+    "stations_in_pair_table": stations_in_pair_table,
     "in_department": in_one_department,
     "departments": department_labels,
     "communes_by_department": communes_in_departments,

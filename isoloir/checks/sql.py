@@ -7,9 +7,11 @@ from __future__ import annotations
 TURNOUT = """
     {k} % 5000 + 1 AS registered,
     ({k} * 7) % ({k} % 5000 + 1) AS abstentions,
-    CAST(CAST((({k} * 7) % ({k} % 5000 + 1)) * 10000 // ({k} % 5000 + 1) // 100 AS VARCHAR) || '.' ||
-         lpad(CAST((({k} * 7) % ({k} % 5000 + 1)) * 10000 // ({k} % 5000 + 1) % 100 AS VARCHAR), 2, '0')
-         AS DOUBLE) AS rate
+    CAST(
+      CAST((({k} * 7) % ({k} % 5000 + 1)) * 10000 // ({k} % 5000 + 1) // 100 AS VARCHAR) || '.'
+      || lpad(CAST((({k} * 7) % ({k} % 5000 + 1)) * 10000 // ({k} % 5000 + 1) % 100 AS VARCHAR),
+              2, '0')
+      AS DOUBLE) AS rate
 """
 
 # The key is padded by one zero at most on the results' side and cut to two and
@@ -121,8 +123,8 @@ ORACLE: dict[str, str] = {
     "ordered_projection": "SELECT c_name AS name, c_custkey AS code, c_acctbal FROM customer",
     "decimal_comma": """
         SELECT l_orderkey, l_linenumber,
-               CAST(replace(replace(CAST(l_extendedprice AS VARCHAR), '.', ','), ',', '.') AS DOUBLE)
-                 AS price
+               CAST(replace(replace(CAST(l_extendedprice AS VARCHAR), '.', ','), ',', '.')
+                    AS DOUBLE) AS price
         FROM lineitem""",
     "split_coordinates": f"""
         SELECT c_custkey, CAST(string_split({PACKED}, ',')[1] AS DOUBLE) AS lat,
@@ -143,10 +145,12 @@ ORACLE: dict[str, str] = {
         SELECT p_partkey, CAST(p_size AS VARCHAR) AS size_text,
                CAST(CAST(trunc(p_retailprice) AS BIGINT) AS VARCHAR) AS price_text
         FROM part""",
-    "null_default": "SELECT p_partkey, coalesce(nullif(p_brand, 'Brand#12'), '00') AS brand FROM part",
+    "null_default": """
+        SELECT p_partkey, coalesce(nullif(p_brand, 'Brand#12'), '00') AS brand FROM part""",
     "label_with_code": """
         SELECT c_custkey,
-               nullif(c_mktsegment, 'HOUSEHOLD') || ' (' || CAST(c_nationkey AS VARCHAR) || ')' AS label
+               nullif(c_mktsegment, 'HOUSEHOLD') || ' (' || CAST(c_nationkey AS VARCHAR) || ')'
+                 AS label
         FROM customer""",
     "address_text": """
         SELECT p_partkey, p_name || ' ' || p_brand || ' '
@@ -186,11 +190,16 @@ ORACLE: dict[str, str] = {
         WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
     "stations_in_pairs": """
         SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment FROM customer
-        WHERE (c_nationkey, c_mktsegment) IN ((3, 'BUILDING'), (3, 'MACHINERY'), (7, 'FURNITURE'))""",
+        WHERE (c_nationkey, c_mktsegment)
+              IN ((3, 'BUILDING'), (3, 'MACHINERY'), (7, 'FURNITURE'))""",
     "stations_in_table": """
         SELECT c_custkey, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS nation FROM customer
         WHERE 'NATION_' || CAST(c_nationkey AS VARCHAR)
               IN (SELECT n_name FROM nation WHERE n_regionkey = 2)""",
+    "stations_in_pair_table": """
+        SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment
+        FROM customer JOIN nation ON c_nationkey = n_nationkey
+        WHERE c_mktsegment = CASE WHEN n_regionkey < 2 THEN 'BUILDING' ELSE 'FURNITURE' END""",
     "in_department": """
         SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS nation, c_acctbal FROM customer
         WHERE c_nationkey = 7""",
@@ -235,7 +244,8 @@ ORACLE: dict[str, str] = {
         SELECT colour_class, count(*) AS stations, min(l_extendedprice) AS low,
                max(l_extendedprice) AS high
         FROM c GROUP BY colour_class""",
-    "size_domain": "SELECT min(o_totalprice) AS size_min, max(o_totalprice) AS size_max FROM orders",
+    "size_domain": """
+        SELECT min(o_totalprice) AS size_min, max(o_totalprice) AS size_max FROM orders""",
     "linear_size": """
         WITH d AS (SELECT min(o_totalprice) AS mn, max(o_totalprice) AS mx FROM orders)
         SELECT o_orderkey,

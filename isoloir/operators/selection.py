@@ -61,18 +61,26 @@ def where_member(df: DataFrame, name: str, chosen: Iterable[str | None] | DataFr
 
 
 def where_any_pair(
-    df: DataFrame, first: str, second: str, pairs: Iterable[tuple[str, str]]
+    df: DataFrame, first: str, second: str, chosen: Iterable[tuple[str, str]] | DataFrame
 ) -> DataFrame:
     """Rows whose two columns equal one of the chosen pairs.
 
-    Tells apart communes of the same name in two departments.
+    Tells apart communes of the same name in two departments. ``chosen`` is a
+    list of pairs or a two-column DataFrame.
     """
-    by_first: dict[str, list[str]] = {}
-    for a, b in pairs:
-        by_first.setdefault((a or "").strip(), []).append(b)
-    kept = F.lit(False)
-    for a, seconds in by_first.items():
-        wanted = chosen_values(seconds)
-        if a and wanted:
-            kept = kept | ((col(first) == a) & col(second).isin(wanted))
-    return df.where(kept)
+    if not isinstance(chosen, DataFrame):
+        trimmed = (((a or "").strip(), (b or "").strip()) for a, b in chosen)
+        pairs = list(dict.fromkeys((a, b) for a, b in trimmed if a and b))
+        if len(pairs) <= INLINE_VALUES:
+            by_first: dict[str, list[str]] = {}
+            for a, b in pairs:
+                by_first.setdefault(a, []).append(b)
+            kept = F.lit(False)
+            for a, seconds in by_first.items():
+                kept = kept | ((col(first) == a) & col(second).isin(seconds))
+            return df.where(kept)
+        chosen = df.sparkSession.createDataFrame(pairs, "a string, b string")
+    a, b = chosen.columns
+    wanted = chosen.select(F.trim(col(a)).alias(first), F.trim(col(b)).alias(second))
+    wanted = wanted.where((col(first) != "") & (col(second) != "")).distinct()
+    return df.join(wanted, [first, second], "left_semi")

@@ -30,7 +30,10 @@ def departments(
 
 
 def commune_pairs(
-    stations: DataFrame, chosen: Iterable[str] | DataFrame, label: str = LABEL, commune: str = COMMUNE
+    stations: DataFrame,
+    chosen: Iterable[str] | DataFrame,
+    label: str = LABEL,
+    commune: str = COMMUNE,
 ) -> DataFrame:
     """Distinct (department, commune) rows of the chosen departments.
 
@@ -41,7 +44,10 @@ def commune_pairs(
 
 
 def communes_by_department(
-    stations: DataFrame, chosen: Iterable[str] | DataFrame, label: str = LABEL, commune: str = COMMUNE
+    stations: DataFrame,
+    chosen: Iterable[str] | DataFrame,
+    label: str = LABEL,
+    commune: str = COMMUNE,
 ) -> DataFrame:
     """Each chosen department with the sorted list of its communes.
 
@@ -60,11 +66,19 @@ def stations_in(
     commune: str = COMMUNE,
     label: str = LABEL,
 ) -> DataFrame:
-    """Stations of the chosen communes, given by name or as (department, commune)."""
+    """Stations of the chosen communes, given by name or as (department, commune).
+
+    ``zones`` is a list, or a table of one or two such columns.
+    """
     if isinstance(zones, DataFrame):
+        if len(zones.columns) == 2:
+            return where_any_pair(stations, label, commune, zones)
         return where_member(stations, commune, zones)
     zones = list(zones)
-    if zones and all(isinstance(z, tuple) for z in zones):
+    paired = [isinstance(z, tuple) for z in zones]
+    if any(paired):
+        if not all(paired):
+            raise TypeError("zones are names or (department, commune) pairs, not both")
         return where_any_pair(stations, label, commune, zones)
     return where_member(stations, commune, zones)
 

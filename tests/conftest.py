@@ -2,8 +2,6 @@ import gzip
 import os
 
 import pytest
-from pyspark.sql import SparkSession
-
 from isoloir.plans.build import read_election
 from isoloir.schema import FRANCE_2017, FRANCE_2022
 from isoloir.session import session_builder
@@ -123,4 +121,4 @@ def values(spark, *texts, name="x"):
     return spark.createDataFrame([(t,) for t in texts], f"`{name}` string")
 
 
-__all__ = ["SF_DIR", "SparkSession", "executed_plan", "plan_of", "rows", "values"]
+__all__ = ["SF_DIR", "executed_plan", "plan_of", "rows", "values"]

@@ -97,6 +97,10 @@ def test_stations_in_pairs(spark, stations_2017):
     assert len(rows(stations_in(stations_2017, [("Paris (75)", "Paris")]))) == 2
     assert rows(stations_in(stations_2017, [("Ain (01)", "Paris")])) == []
     assert rows(stations_in(stations_2017, [("", "Paris"), ("Ain (01)", " ")])) == []
+    chosen = spark.createDataFrame([(" Paris (75)", "Paris"), ("Ain (01)", "Paris")], "d string, c string")
+    assert len(rows(stations_in(stations_2017, chosen.union(chosen)))) == 2
+    with pytest.raises(TypeError):
+        stations_in(stations_2017, ["Paris", ("Ain (01)", "Bourg")])
 
 
 def test_metropolitan(stations_2022):

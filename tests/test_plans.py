@@ -6,6 +6,7 @@ from contextlib import contextmanager
 import pytest
 from conftest import SF_DIR, executed_plan, plan_of, rows
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 import __spark_entry__ as contract
 from isoloir.operators import (
@@ -13,6 +14,8 @@ from isoloir.operators import (
     attach_by_key,
     drop_incomplete,
     fit_scales,
+    quantile_thresholds,
+    where_any_pair,
     where_equals,
     where_member,
     where_prefix,
@@ -89,6 +92,26 @@ def test_colouring_is_one_projection(spark):
     assert "WholeStageCodegen" in plan or "*(1) Project" in plan
 
 
+def test_quantile_rounds_read_one_column_and_push_their_spans(spark, monkeypatch):
+    lineitem = table(spark, "lineitem")
+    plans = []
+    collect = DataFrame.collect
+
+    def watched(df):
+        plans.append(plan_of(df))
+        return collect(df)
+
+    monkeypatch.setattr(DataFrame, "collect", watched)
+    quantile_thresholds(lineitem, "l_extendedprice", few_rows=0)
+    rounds = [plan for plan in plans if "bucket" in plan]
+    assert len(rounds) >= 2
+    for plan in rounds:
+        assert "ReadSchema: struct<l_extendedprice:double>" in plan
+        # Counted where the rows are before anything is shuffled.
+        assert re.search(r"Exchange hashpartitioning\(span#.*\n.*HashAggregate\(", plan)
+    assert "GreaterThanOrEqual(l_extendedprice" in rounds[1]
+
+
 def test_build_shuffles_nothing_when_the_geo_side_is_small(stations_2017):
     plan = plan_of(stations_2017)
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
@@ -151,6 +174,10 @@ def test_long_selection_lists_are_joined(spark):
     df = where_member(part, "k", [str(i) for i in range(0, 40_000, 2)])
     assert "LeftSemi" in plan_of(df)
     assert df.count() == part.where("cast(k as int) % 2 = 0").count()
+    part = part.withColumn("d", F.lit("x"))
+    df = where_any_pair(part, "d", "k", [("x", f" {i} ") for i in range(0, 40_000, 2)])
+    assert "LeftSemi" in plan_of(df)
+    assert df.count() == part.where("cast(k as int) % 2 = 0").count()
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
