@@ -32,7 +32,8 @@ def replace_stations(
 ) -> None:
     """Write ``df`` so that each election in it replaces its stored rows.
 
-    Elections that ``df`` does not hold stay as they are. Without
+    Elections that ``df`` does not hold stay as they are, so an empty ``df``
+    replaces nothing. Without
     ``cluster_by`` there is no shuffle; with it, one shuffle at build time lets
     later reads by those columns skip row groups. The replaced files go when
     the whole job commits. Never pass a ``df`` that reads ``path`` itself.
