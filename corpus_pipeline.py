@@ -1,11 +1,28 @@
-"""The corpus pipeline: quality, toxicity, exact and near duplicates, packing."""
+"""The corpus pipeline: quality, toxicity, exact and near duplicates, packing.
+
+Each stage works on all rows that its predecessor kept and returns the columns of
+``documents``; the last returns the packed pieces. Classifiers learn from the labelled
+documents among a stage's own rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isoloir.llm import exact_dedup
+from isoloir.llm import exact_dedup, ngram_join, packing, quality, toxicity
 from isoloir.llm.common import read_table, stored
+from isoloir.llm.queries import held_out, public_file
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules and their model keep."""
+    return quality.keep_good(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    labels = read_table(spark, sf_dir, "labels")
+    return toxicity.keep_clean(docs, toxicity.train(docs, labels, ~held_out()))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,8 +30,22 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_first(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that similarity links into a class, the first."""
+    return ngram_join.keep_one(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that are left, placed in sequences."""
+    return packing.pack_documents(docs, public_file("byte_bpe_50k.json"))
+
+
 STAGES = [
+    ("quality_rules", drop_poor),
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
+    ("ngram_jaccard", drop_near_copies),
+    ("packing", pack),
 ]
 #: A trained model's verdicts and a packing are not SQL; the tests use brute force.
 ORACLE_SQL = None

@@ -2,13 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoloir.llm import chat, exact_dedup, url_filter, warc
+from isoloir.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    lm_scoring,
+    ngram_join,
+    packing,
+    quality,
+    toxicity,
+    url_filter,
+    warc,
+)
 from isoloir.llm.common import read_table
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Whether a document's label may not be learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
+
+
+def public_file(name: str) -> str:
+    """Where a public vocabulary file lies on this machine and on the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the trained verdict on every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.measure_documents(docs, model)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores and spans, learned from the documents that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    field = toxicity.train(docs, read_table(spark, sf_dir, "labels"), ~held_out())
+    tagged = toxicity.tag_documents(docs, field)
+    predicted = (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted")
+    return tagged.select("doc_id", held_out().alias("held_out"), "score", predicted, "n_toxic", "spans")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record per page in ZIP packages, read back by ranges."""
     manifest = warc.write_packages(read_table(spark, sf_dir, "pages"))
@@ -16,6 +55,20 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as ids of a byte-level vocabulary, and decoded again."""
+    import public_tokenizers
+
+    path = public_file("byte_bpe_multi_50k.tiktoken")
+    docs = read_table(spark, sf_dir, "documents")
+    return bpe.encode_documents(docs, path, public_tokenizers.PATTERN, ids=False).drop("ids")
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document by the n-grams of all."""
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and one of control strings, formatted and read back."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -38,6 +91,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents that are linked by the similarity of their shingles."""
+    return ngram_join.similar_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, packed into sequences."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages judged by rules, and by a model trained on urls that rules decide."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
@@ -48,9 +111,15 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_quality_rules,
+        op2_toxicity,
         op3_warc,
+        op4_byte_bpe,
+        op5_lm_score,
         op6_chat_format,
         op7_exact_dedup,
+        op8_ngram_jaccard,
+        op9_packing,
         op10_url_filter,
     )
 }
@@ -60,6 +129,35 @@ _CONTROL = (
 )
 
 ORACLE = {
+    "op5_lm_score": r"""
+        WITH docs AS (
+            SELECT doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), spread AS (
+            SELECT doc_id, words[i] AS word, words[i - 1] AS previous, i
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM docs)
+        ), singles AS (SELECT word, count(*) AS n FROM spread GROUP BY 1),
+        pairs AS (
+            SELECT previous, word, count(*) AS n FROM spread WHERE i > 1 GROUP BY 1, 2
+        ), scored AS (
+            SELECT doc_id,
+                   CASE WHEN coalesce(p.n, 0) >= 2 THEN p.n / CAST(c.n AS DOUBLE)
+                        WHEN i = 1 THEN w.n / CAST((SELECT count(*) FROM spread) AS DOUBLE)
+                        ELSE w.n / CAST((SELECT count(*) FROM spread) AS DOUBLE) * CAST(0.4 AS DOUBLE)
+                   END AS score,
+                   i > 1 AND coalesce(p.n, 0) < 2 AS backoff
+            FROM spread s JOIN singles w USING (word)
+            LEFT JOIN pairs p ON s.i > 1 AND p.previous = s.previous AND p.word = s.word
+            LEFT JOIN singles c ON c.word = s.previous
+        ), summed AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (backoff) AS n_backoffs,
+                   CAST(sum(CAST(round(1e6 * ln(score)) AS BIGINT)) AS DOUBLE) / 1e6 AS log_score
+            FROM scored GROUP BY 1
+        )
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_backoffs, 0) AS n_backoffs,
+               coalesce(log_score, 0) AS log_score
+        FROM docs LEFT JOIN summed USING (doc_id)""",
     "op6_chat_format": f"""
         WITH turns AS (
             SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
