@@ -4,7 +4,7 @@ A set's shingles are ordered by how many sets have them, the rarest first. Two s
 in common share something early in that order, and the signatures of a set are made so that
 they then share one:
 
-* a rare shingle (in fewer than ``FREQUENT`` sets) is a signature by itself;
+* a rare shingle (in fewer than ``frequent`` sets) is a signature by itself;
 * frequent shingles are dealt to groups by their hash, and every pair of a group is one.
 
 Per set of ``n`` shingles at most ``e = n - ceil(0.75 n)`` may be missing from a similar one.
@@ -102,7 +102,7 @@ def levels(size: int) -> set[int]:
     return {_level(smallest), _level(size), _level(largest)}
 
 
-def signatures(found: np.ndarray, sets_with: np.ndarray) -> np.ndarray:
+def signatures(found: np.ndarray, sets_with: np.ndarray, frequent: int = FREQUENT) -> np.ndarray:
     """The signatures of a set, given how many sets have each of its shingles."""
     size = len(found)
     if size < 2:
@@ -110,7 +110,7 @@ def signatures(found: np.ndarray, sets_with: np.ndarray) -> np.ndarray:
     order = np.lexsort((found, sets_with))
     found, sets_with = found[order], sets_with[order]
     wanted = allowed_missing(size) + 1
-    rare = int(np.searchsorted(sets_with, FREQUENT, "left"))
+    rare = int(np.searchsorted(sets_with, frequent, "left"))
     single = found[: min(rare, wanted)]
     # What no other set has is no use as a signature, but it is part of the prefix.
     out = [single[sets_with[: len(single)] > 1]]
@@ -158,7 +158,9 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return picked.mapInArrow(run, SETS.format(key=key))
 
 
-def signed_nodes(docs: DataFrame, sets: DataFrame, doc_id: str, text: str) -> DataFrame:
+def signed_nodes(
+    docs: DataFrame, sets: DataFrame, doc_id: str, text: str, frequent: int = FREQUENT
+) -> DataFrame:
     """Size, text and signatures of every node that may be linked, from one of its documents."""
     nodes = sets.where("node is not null and n_shingles > 1")
     nodes = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("text_bytes").alias("bytes"))
@@ -200,7 +202,7 @@ def signed_nodes(docs: DataFrame, sets: DataFrame, doc_id: str, text: str) -> Da
         sums = sums_of(right[~is_id])
         pack, out = zstandard.ZstdCompressor(3), []
         for node, said, found in own:
-            signed = signatures(found, sums[np.searchsorted(hashes, found >> cut)])
+            signed = signatures(found, sums[np.searchsorted(hashes, found >> cut)], frequent)
             if len(signed):
                 out.append((node, len(found), pack.compress(said.encode("utf-8", "surrogatepass")), signed))
         return pd.DataFrame(out, columns=["node", "size", "text", "signatures"])
@@ -303,7 +305,9 @@ def _labelled(listed: DataFrame, found: DataFrame) -> DataFrame:
     return listed.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_documents(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT
+) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row.
 
     ``component_id`` is the smallest id that is reachable by links, the row's own included. A
@@ -312,7 +316,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     others. Other columns are ignored; an empty table gives an empty result.
     """
     sets = stored(shingle_sets(docs, doc_id, text), "sets")
-    nodes = stored(signed_nodes(docs, sets, doc_id, text), "signed")
+    nodes = stored(signed_nodes(docs, sets, doc_id, text, frequent), "signed")
     found = classes(nodes)
     smallest = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     smallest = smallest.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -132,13 +132,15 @@ def with_originals(pages: DataFrame, page_id: str, url: str, html: str) -> DataF
 
 
 def write_packages(
-    pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html"
-) -> DataFrame:
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
+    package_bytes: int = PACKAGE_BYTES, package_records: int = PACKAGE_RECORDS,
+    revisit_from: int = REVISIT_FROM,
+) -> DataFrame:
     """The manifest of the written packages: path, bytes, records. One record per row.
 
     The payload is the html in UTF-8, null as empty; a null url has an empty target, and
     blanks and control characters of a url are percent-encoded. A record with the payload
-    of a page of smaller id is a revisit if it has ``REVISIT_FROM`` bytes. Other columns
+    of a page of smaller id is a revisit if it has ``revisit_from`` bytes. Other columns
     of ``pages`` are ignored; an empty table writes no package.
     """
     folder = scratch_folder(pages.sparkSession, "warc")
@@ -152,9 +154,10 @@ def write_packages(
                 if package is None:
                     package = _Package(fs, base, folder)
                 payload, original = row["html"].encode(), row["original"]
-                first = original is None or original == row["page_id"] or len(payload) < REVISIT_FROM
-                package.add(write_record(row["page_id"], row["url"], payload, None if first else record_name(original)))
-                if package.full():
+                first = original is None or original == row["page_id"] or len(payload) < revisit_from
+                refers_to = None if first else record_name(original)
+                package.add(write_record(row["page_id"], row["url"], payload, refers_to))
+                if package.bytes >= package_bytes or len(package.lengths) >= package_records:
                     yield package.close()
                     package = None
         if package is not None:
@@ -180,9 +183,6 @@ class _Package:
         self.lengths.append(len(record))
         self.bytes += len(record)
 
-    def full(self) -> bool:
-        return self.bytes >= PACKAGE_BYTES or len(self.lengths) >= PACKAGE_RECORDS
-
     def close(self) -> pa.RecordBatch:
         self.member.close()
         lines, at = [], 0
@@ -197,7 +197,7 @@ class _Package:
         )
 
 
-def record_ranges(manifest: DataFrame) -> DataFrame:
+def record_ranges(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Ranges of the packages' archive members, whole records each, from directory and index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,18 +207,18 @@ def record_ranges(manifest: DataFrame) -> DataFrame:
                 with fs.open_input_file(place) as file:
                     found = {m.name: m for m in stored_members(file, file.size())}
                     index = read_range(file, found[INDEX].start, found[INDEX].size)
-                yield _ranges(path, found[ARCHIVE].start, index)
+                yield _ranges(path, found[ARCHIVE].start, index, range_bytes)
 
     return manifest.select("package").mapInArrow(run, RANGES)
 
 
-def _ranges(path: str, base: int, index: bytes) -> pa.RecordBatch:
+def _ranges(path: str, base: int, index: bytes, range_bytes: int) -> pa.RecordBatch:
     out: dict[str, list] = {"package": [], "start": [], "size": [], "lengths": []}
     for line in index.decode().split("\n"):
         entry = json.loads(line)
         start, length = base + entry["offset"], entry["length"]
         follows = out["start"] and out["start"][-1] + out["size"][-1] == start
-        if follows and out["size"][-1] + length <= RANGE_BYTES:
+        if follows and out["size"][-1] + length <= range_bytes:
             out["size"][-1] += length
             out["lengths"][-1].append(length)
         else:
@@ -229,7 +229,9 @@ def _ranges(path: str, base: int, index: bytes) -> pa.RecordBatch:
     ))
 
 
-def read_records(manifest: DataFrame, payload: bool = True) -> DataFrame:
+def read_records(
+    manifest: DataFrame, payload: bool = True, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
     """Every record of the packages; ``payload`` is null for revisits, or if not asked for."""
     schema = pa.schema(
         {
@@ -258,5 +260,5 @@ def read_records(manifest: DataFrame, payload: bool = True) -> DataFrame:
     total = manifest.agg(F.sum("bytes")).first()[0] or 0
     least = manifest.sparkSession.sparkContext.defaultParallelism
     # The rows are a few bytes each; the bytes they stand for set the number of tasks.
-    dealt = record_ranges(manifest).repartition(max(least, total // TASK_BYTES), "package", "start")
+    dealt = record_ranges(manifest, range_bytes).repartition(max(least, total // TASK_BYTES), "package", "start")
     return dealt.mapInArrow(run, RECORDS)

@@ -41,6 +41,9 @@ def _directory(file: BinaryIO, length: int) -> tuple[int, int, int]:
     tail_at = max(0, length - LONGEST_COMMENT - 22)
     tail = read_range(file, tail_at, length - tail_at)
     at = tail.rfind(END)
+    # A comment follows the record; bytes of a comment that look like a record do not end so.
+    while at >= 0 and at + 22 + int.from_bytes(tail[at + 20 : at + 22], "little") != len(tail):
+        at = tail.rfind(END, 0, at)
     if at < 0:
         raise ValueError("not a ZIP archive")
     count, size, start = struct.unpack_from("<HII", tail, at + 10)

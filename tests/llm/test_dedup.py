@@ -53,8 +53,7 @@ def test_filter_misses_no_repeat_and_passes_most_others(spark):
 
 
 def test_full_filter_changes_no_result(odd, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "slot_count", lambda rows: exact_dedup.SEGMENT)
-    monkeypatch.setattr(exact_dedup, "slots_of", lambda h, slots: np.zeros((len(h), 1), np.uint64))
+    monkeypatch.setattr(exact_dedup, "may_repeat", lambda hashes, rows: lambda h: F.lit(True))
     assert counted(exact_dedup.duplicate_groups(odd).collect()) == exact_groups(ODD_TEXTS)
 
 
@@ -111,14 +110,13 @@ def copies(groups, size, words):
     return out
 
 
-def test_near_classes_of_large_groups(spark, monkeypatch):
+def test_near_classes_of_large_groups(spark):
     # Frequent from eight sets on, so that pairs within groups carry most of the work.
     rows = copies(6, 30, 60)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = near_classes(rows)
     assert counted(ngram_join.similar_documents(docs).collect()) == want
-    monkeypatch.setattr(ngram_join, "FREQUENT", 8)
-    assert counted(ngram_join.similar_documents(docs).collect()) == want
+    assert counted(ngram_join.similar_documents(docs, frequent=8).collect()) == want
 
 
 def test_one_of_each_class_stays(odd):
