@@ -20,12 +20,19 @@ from isoloir.operators import (
     fit_scales,
     quantile_thresholds,
     size_domain,
+    where_any_pair,
     where_equals,
     where_member,
     where_prefix,
 )
-from isoloir.plans.build import build_stations
-from isoloir.plans.layers import SHOWN_RATE, map_layer, national_layer, points
+from isoloir.plans.build import build_stations, read_election
+from isoloir.plans.layers import (
+    SHOWN_RATE,
+    layer_with_scales,
+    map_layer,
+    national_layer,
+    points,
+)
 from isoloir.plans.questions import (
     commune_pairs,
     communes_by_department,
@@ -243,6 +250,15 @@ def prefix_filter(spark, sf):
     return where_prefix(part, "brand", "Brand#1")
 
 
+def metropolitan_default(spark, sf):
+    """Codes from 0 to 98, some with letters, and the prefixes that are left out by default."""
+    number = F.lpad(text(F.col("c_custkey") % 99), 2, "0")
+    code = F.when(F.col("c_nationkey") == 3, F.concat(F.lit("Z"), number)).otherwise(
+        F.concat(number, text(F.col("c_nationkey") % 3))
+    )
+    return metropolitan(table(spark, sf, "customer").select("c_custkey", code.alias("code")), "code")
+
+
 def exclude_prefixes(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", "p_brand")
     return metropolitan(part, "p_brand", ("Brand#1", "Brand#2"))
@@ -280,6 +296,21 @@ def stations_in_table(spark, sf):
     return where_member(customer, "nation", chosen.union(chosen))
 
 
+def stations_in_long_list(spark, sf):
+    """Every third customer by name, more values than a filter holds; stray blanks."""
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    names = [f"\tCustomer#{k:09d}\n " for k in range(0, 60_000, 3)]
+    return where_member(customer, "c_name", names)
+
+
+def stations_in_many_pairs(spark, sf):
+    """Ten thousand pairs, all of different first values."""
+    orders = table(spark, sf, "orders").select(
+        "o_totalprice", text("o_orderkey").alias("key"), text(F.col("o_orderkey") % 7).alias("rest")
+    )
+    return where_any_pair(orders, "key", "rest", [(f"{k}", f" {k % 5}") for k in range(10_000)])
+
+
 def in_one_department(spark, sf):
     customer = table(spark, sf, "customer").select(
         "c_custkey", text("c_nationkey").alias("nation"), "c_acctbal"
@@ -361,9 +392,9 @@ def quantile_class_ties(spark, sf):
 
 
 def quantile_class_many_rounds(spark, sf):
-    """The same result with few buckets per round, as many rounds as it takes."""
+    """The same result with coarse histograms, as many rounds as it takes."""
     lineitem = table(spark, sf, "lineitem").select("l_extendedprice")
-    counted = _classified(lineitem, "l_extendedprice", buckets=64, few_rows=0).groupBy("colour_class")
+    counted = _classified(lineitem, "l_extendedprice", steps=64, few_rows=0).groupBy("colour_class")
     return counted.agg(
         F.count("*").alias("stations"),
         F.min("l_extendedprice").alias("low"),
@@ -371,6 +402,15 @@ def quantile_class_many_rounds(spark, sf):
     )
 
 
+def quantile_class_heavy_tail(spark, sf):
+    """Values spread over two hundred decades: powers of two and of a price's last digits."""
+    exponent = F.col("l_orderkey") * 7 % 640 - 320
+    value = F.pow(F.lit(2.0), exponent.cast("double")) * (F.col("l_partkey") % 64 + 1)
+    lineitem = table(spark, sf, "lineitem").select(value.alias("value"))
+    counted = _classified(lineitem, "value", steps=100, few_rows=100).groupBy("colour_class")
+    return counted.agg(F.count("*").alias("stations"), F.min("value").alias("low"), F.max("value").alias("high"))
+
+
 def size_bounds(spark, sf):
     return size_domain(table(spark, sf, "orders"), "o_totalprice")
 
@@ -394,6 +434,24 @@ def scaled_points(spark, sf):
     return apply_scales(events, scales, "value", "user_id")
 
 
+def scaled_points_not_finite(spark, sf):
+    """Rates, sizes and places that are NaN or infinite shape no scale and have no size."""
+    kind = F.col("event_id") % 11
+    value = F.when(kind == 1, float("nan")).when(kind == 2, float("inf")).when(kind == 3, float("-inf"))
+    strange = value.when(kind == 4, F.lit(None)).otherwise(F.col("value"))
+    events = table(spark, sf, "events").select("event_id", strange.alias("strange"))
+    scales = fit_scales(events, "strange", "strange", "strange", "strange")
+    shown = apply_scales(events, scales, "strange", "strange")
+    latitude, longitude = scales.centre
+    return shown.select(
+        "event_id",
+        "colour_class",
+        "size",
+        F.lit(latitude).alias("latitude"),
+        F.lit(longitude).alias("longitude"),
+    )
+
+
 # Whole questions
 
 
@@ -437,6 +495,28 @@ def build_2022(spark, sf):
     return _stations(spark, sf, 2022).withColumnsRenamed(PLAIN)
 
 
+def _from_files(spark, sf, spec, export):
+    """The election's sources written as files, an address with line breaks in between."""
+    place = scratch_folder(spark, "files")
+    export.write.options(header=True, sep=";", lineSep="\r\n").csv(f"{place}/export")
+    sources.official(spark, sf).write.options(header=True, sep=";").csv(f"{place}/official")
+    geo = sources.geo(spark, sf)
+    note = F.concat(F.lit('4 "place"\ndu Louvre, '), F.coalesce("geo_adresse", F.lit("")))
+    geo.select("circonscription_code", note.alias("note"), *geo.columns[1:]).write.options(
+        header=True, compression="gzip", escape='"', quoteAll=True
+    ).csv(f"{place}/geo")
+    built = read_election(spark, spec, f"{place}/export", f"{place}/official", f"{place}/geo")
+    return built.withColumnsRenamed(PLAIN)
+
+
+def built_from_files_2017(spark, sf):
+    return _from_files(spark, sf, FRANCE_2017, sources.export_2017(spark, sf))
+
+
+def built_from_files_2022(spark, sf):
+    return _from_files(spark, sf, FRANCE_2022, sources.export_2022(spark, sf))
+
+
 def flagship(spark, sf):
     """Build and store 2017, choose communes, colour and size what is chosen."""
     stations = read_stations(spark, _stored(spark, sf, 2017), 2017)
@@ -469,7 +549,7 @@ def typed_roundtrip(spark, sf):
         struct(o_orderkey=LONG, o_custkey=TEXT, o_totalprice=DOUBLE, election=INT),
     )
     replace_stations(orders, path)
-    return spark.read.parquet(path).where(F.col(ELECTION) == 1997)
+    return spark.read.parquet(path)
 
 
 def clustered_roundtrip(spark, sf):
@@ -478,7 +558,7 @@ def clustered_roundtrip(spark, sf):
         "p_partkey", "p_brand", "p_type", F.length("p_type").alias(ELECTION)
     )
     replace_stations(part, path, cluster_by=("p_type", "p_brand"))
-    return where_member(spark.read.parquet(path), "p_brand", ["Brand#3", "Brand#14"])
+    return spark.read.parquet(path)
 
 
 def replace_one_election(spark, sf):
@@ -495,22 +575,55 @@ def replace_one_election(spark, sf):
     )
 
 
+def replace_with_nothing(spark, sf):
+    """Two statuses are replaced in one call; one of them has no rows any more."""
+    path = scratch_folder(spark, "emptied")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    replace_stations(orders, path, partition="o_orderstatus")
+    changed = where_equals(orders, "o_orderstatus", "P").withColumn(
+        "o_totalprice", F.lit(0).cast("double")
+    )
+    replace_stations(changed, path, partition="o_orderstatus", elections=["F", "P"])
+    return spark.read.parquet(path).select(
+        "o_orderkey", "o_totalprice", text("o_orderstatus").alias("o_orderstatus")
+    )
+
+
 def table_in_database(spark, sf):
-    place = scratch_folder(spark, "database")
-    ensure_database(spark, "isoloir_checks", place)
-    ensure_database(spark, "ISOLOIR_CHECKS")
-    name = "isoloir_checks.supplier_" + place.rsplit("-", 1)[1]
+    """A nation's balances are replaced, another's rows taken away, in a catalogue table."""
+    # Dropping a database removes its own folder, so the rows lie in another.
+    place = scratch_folder(spark, "supplier")
+    database = "isoloir_checks_" + place.rsplit("-", 1)[1]
+    ensure_database(spark, database, scratch_folder(spark, "database"))
+    ensure_database(spark, database.upper())
+    name = f"{database}.supplier"
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
-    replace_table(supplier, name, "s_nationkey", f"{place}/supplier")
-    replace_table(where_equals(supplier, "s_nationkey", 5), name, "s_nationkey")
-    return spark.table(name)
+    replace_table(supplier, name, "s_nationkey", place)
+    changed = where_equals(supplier, "s_nationkey", 5).withColumn("s_acctbal", F.lit(0).cast("double"))
+    replace_table(changed, name, "s_nationkey")
+    replace_table(changed, name, "s_nationkey", elections=[6])
+    # The rows are files of their own; the names go with the check.
+    rows = spark.table(name).schema
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(rows).parquet(place)
 
 
 def saved_layer(spark, sf):
+    """The layer as stored, with its legend and view, which are not fitted again."""
     path = scratch_folder(spark, "layer")
     stations = read_stations(spark, _stored(spark, sf, 2017), 2017)
-    save_layer(map_layer(metropolitan(stations, outside=("2",))), path)
-    return national_layer(spark, saved=path).withColumnsRenamed(PLAIN)
+    layer, scales = layer_with_scales(metropolitan(stations, outside=("2",)))
+    save_layer(layer, path, scales)
+    layer, scales = national_layer(spark, saved=path)
+    view = {
+        **{f"threshold_{k}": round(t, 6) for k, t in enumerate(scales.thresholds)},
+        "size_low": scales.size_low,
+        "size_high": scales.size_high,
+        "centre_latitude": scales.centre[0],
+        "centre_longitude": scales.centre[1],
+    }
+    shown = [F.lit(value).alias(name) for name, value in view.items()]
+    return layer.withColumnsRenamed(PLAIN).select("*", *shown)
 
 
 CUSTOMER = struct(c_custkey=LONG, c_name=TEXT, c_nationkey=INT, c_acctbal=DOUBLE)
@@ -600,6 +713,8 @@ QUERIES: dict[str, Query] = {
     "flagship": flagship,
     "build_2017": build_2017,
     "build_2022": build_2022,
+    "built_from_files_2017": built_from_files_2017,
+    "built_from_files_2022": built_from_files_2022,
     "metropolitan_layer": metropolitan_layer,
     "department_layer": department_layer,
     "tooltip_points": tooltip_points,
@@ -624,10 +739,13 @@ QUERIES: dict[str, Query] = {
     "equality_filter": equality_filter,
     "prefix_filter": prefix_filter,
     "exclude_prefixes": exclude_prefixes,
+    "metropolitan_default": metropolitan_default,
     "stations_in": stations_in_communes,
     "stations_in_pairs": stations_in_pairs,
     "stations_in_table": stations_in_table,
     "stations_in_pair_table": stations_in_pair_table,
+    "stations_in_long_list": stations_in_long_list,
+    "stations_in_many_pairs": stations_in_many_pairs,
     "in_department": in_one_department,
     "departments": department_labels,
     "communes_by_department": communes_in_departments,
@@ -637,13 +755,16 @@ QUERIES: dict[str, Query] = {
     "quantile_class": quantile_class,
     "quantile_class_ties": quantile_class_ties,
     "quantile_class_many_rounds": quantile_class_many_rounds,
+    "quantile_class_heavy_tail": quantile_class_heavy_tail,
     "size_domain": size_bounds,
     "linear_size": linear_size,
     "extent": layer_extent,
     "scaled_points": scaled_points,
+    "scaled_points_not_finite": scaled_points_not_finite,
     "typed_roundtrip": typed_roundtrip,
     "clustered_roundtrip": clustered_roundtrip,
     "replace_one_election": replace_one_election,
+    "replace_with_nothing": replace_with_nothing,
     "table_in_database": table_in_database,
     "saved_layer": saved_layer,
     "delimited_roundtrip": delimited_roundtrip,

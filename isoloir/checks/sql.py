@@ -104,6 +104,8 @@ ORACLE: dict[str, str] = {
     ),
     "build_2017": BUILT.format(stations=STATIONS_2017, year=2017),
     "build_2022": BUILT.format(stations=STATIONS_2022, year=2022),
+    "built_from_files_2017": BUILT.format(stations=STATIONS_2017, year=2017),
+    "built_from_files_2022": BUILT.format(stations=STATIONS_2022, year=2022),
     "metropolitan_layer": LAYER.format(
         stations=STATIONS_2022, where="NOT regexp_matches(code, '^(1|2)')"
     ),
@@ -200,6 +202,22 @@ ORACLE: dict[str, str] = {
         SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment
         FROM customer JOIN nation ON c_nationkey = n_nationkey
         WHERE c_mktsegment = CASE WHEN n_regionkey < 2 THEN 'BUILDING' ELSE 'FURNITURE' END""",
+    "stations_in_long_list": """
+        SELECT c_custkey, c_name, c_nationkey FROM customer
+        WHERE CAST(substr(c_name, 10) AS BIGINT) % 3 = 0
+              AND CAST(substr(c_name, 10) AS BIGINT) < 60000""",
+    "stations_in_many_pairs": """
+        SELECT o_totalprice, CAST(o_orderkey AS VARCHAR) AS key,
+               CAST(o_orderkey % 7 AS VARCHAR) AS rest
+        FROM orders WHERE o_orderkey < 10000 AND o_orderkey % 7 = o_orderkey % 5""",
+    "metropolitan_default": """
+        SELECT c_custkey, code FROM (
+            SELECT c_custkey, CASE
+                WHEN c_nationkey = 3 THEN 'Z' || lpad(CAST(c_custkey % 99 AS VARCHAR), 2, '0')
+                ELSE lpad(CAST(c_custkey % 99 AS VARCHAR), 2, '0')
+                     || CAST(c_nationkey % 3 AS VARCHAR) END AS code
+            FROM customer)
+        WHERE NOT regexp_matches(code, '^(Z|97|98)')""",
     "in_department": """
         SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS nation, c_acctbal FROM customer
         WHERE c_nationkey = 7""",
@@ -244,6 +262,14 @@ ORACLE: dict[str, str] = {
         SELECT colour_class, count(*) AS stations, min(l_extendedprice) AS low,
                max(l_extendedprice) AS high
         FROM c GROUP BY colour_class""",
+    "quantile_class_heavy_tail": f"""
+        WITH v AS (
+            SELECT CAST(2 AS DOUBLE) ** CAST(l_orderkey * 7 % 640 - 320 AS DOUBLE)
+                   * (l_partkey % 64 + 1) AS value FROM lineitem),
+        s AS (SELECT quantile_cont(value, {SIXTHS}) AS cuts FROM v)
+        SELECT {CLASS.format(cuts='cuts', value='value')} AS colour_class, count(*) AS stations,
+               min(value) AS low, max(value) AS high
+        FROM v, s GROUP BY 1""",
     "size_domain": """
         SELECT min(o_totalprice) AS size_min, max(o_totalprice) AS size_max FROM orders""",
     "linear_size": """
@@ -264,21 +290,53 @@ ORACLE: dict[str, str] = {
                {COLOUR.format(cuts='cuts', value='value')} AS stroke_colour,
                CASE WHEN mx = mn THEN 25.0 ELSE (user_id - mn) / (mx - mn) * 50 END AS size
         FROM events, s""",
+    "scaled_points_not_finite": f"""
+        WITH e AS (
+            SELECT event_id, CASE event_id % 11 WHEN 1 THEN CAST('NaN' AS DOUBLE)
+                WHEN 2 THEN CAST('Infinity' AS DOUBLE) WHEN 3 THEN CAST('-Infinity' AS DOUBLE)
+                WHEN 4 THEN NULL ELSE value END AS strange
+            FROM events
+        ), s AS (
+            SELECT quantile_cont(strange, {SIXTHS}) AS cuts, min(strange) AS mn, max(strange) AS mx
+            FROM e WHERE isfinite(strange))
+        SELECT event_id,
+               CASE WHEN NOT isnan(strange)
+                    THEN {CLASS.format(cuts='cuts', value='strange')} END AS colour_class,
+               CASE WHEN isfinite(strange) THEN (strange - mn) / (mx - mn) * 50 END AS size,
+               (mn + mx) / 2 AS latitude, (mn + mx) / 2 AS longitude
+        FROM e, s""",
     "typed_roundtrip": """
         SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_totalprice,
                CAST(year(o_orderdate) AS INTEGER) AS election
-        FROM orders WHERE year(o_orderdate) = 1997""",
+        FROM orders""",
     "clustered_roundtrip": """
         SELECT p_partkey, p_brand, p_type, CAST(length(p_type) AS INTEGER) AS election
-        FROM part WHERE p_brand IN ('Brand#3', 'Brand#14')""",
+        FROM part""",
     "replace_one_election": """
         SELECT o_orderkey, o_orderstatus,
                CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_totalprice END AS o_totalprice
         FROM orders""",
-    "table_in_database": "SELECT s_suppkey, s_acctbal, s_nationkey FROM supplier",
-    "saved_layer": LAYER.format(
-        stations=STATIONS_2017, where="NOT regexp_matches(code, '^2')"
-    ),
+    "replace_with_nothing": """
+        SELECT o_orderkey, o_orderstatus,
+               CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END AS o_totalprice
+        FROM orders WHERE o_orderstatus <> 'F'""",
+    "table_in_database": """
+        SELECT s_suppkey, CASE WHEN s_nationkey = 5 THEN 0 ELSE s_acctbal END AS s_acctbal,
+               s_nationkey
+        FROM supplier WHERE s_nationkey <> 6""",
+    "saved_layer": f"""
+        WITH layer AS ({LAYER.format(
+            stations=STATIONS_2017, where="NOT regexp_matches(code, '^2')")}),
+        view AS (
+            SELECT quantile_cont(rate, {SIXTHS}) AS cuts,
+                   CAST(min(registered) AS DOUBLE) AS size_low,
+                   CAST(max(registered) AS DOUBLE) AS size_high,
+                   (min(latitude) + max(latitude)) / 2 AS centre_latitude,
+                   (min(longitude) + max(longitude)) / 2 AS centre_longitude
+            FROM layer)
+        SELECT layer.*, {', '.join(f'round(cuts[{k + 1}], 6) AS threshold_{k}' for k in range(5))},
+               size_low, size_high, centre_latitude, centre_longitude
+        FROM layer, view""",
     "delimited_roundtrip": CUSTOMER,
     "cr_split_records": "SELECT p_partkey, p_name FROM part",
     "compressed_roundtrip": CUSTOMER,

@@ -15,6 +15,7 @@ from isoloir.functions.text import (
     longitude_of,
     null_tokens,
     pad_once,
+    strict_cast,
 )
 
 __all__ = [
@@ -36,4 +37,5 @@ __all__ = [
     "pad_once",
     "quantile_class",
     "results_key",
+    "strict_cast",
 ]

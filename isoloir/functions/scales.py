@@ -41,10 +41,12 @@ def linear_size(
 ) -> Column:
     """The value's place between ``low`` and ``high``, stretched over ``size_range``.
 
-    A domain of one single value gives the middle of the range.
+    A domain of one single value gives the middle of the range. Null, NaN and
+    infinity have no size.
     """
     smallest, largest = size_range
     value = column(value).cast("double")
+    value = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
     if low is None or high is None:
         return F.lit(None).cast("double")
     if low == high:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from isoloir.functions.columns import ColumnOrName, column
 from isoloir.schema import NA_TOKENS
@@ -21,21 +22,35 @@ def default_null(c: ColumnOrName, value: str) -> Column:
     return F.coalesce(column(c), F.lit(value))
 
 
+def strict_cast(c: ColumnOrName, kind: str | DataType) -> Column:
+    """The value as another type; one that does not fit raises.
+
+    The expression itself raises, whether or not the session is in ANSI mode.
+    """
+    return or_raise(column(c), column(c).try_cast(kind))
+
+
+def or_raise(c: Column, value: Column) -> Column:
+    """``value``; where that is null although ``c`` is not, an error that shows ``c``."""
+    message = F.concat(F.lit("CAST_INVALID_INPUT: "), F.left(c.cast("string"), F.lit(100)))
+    return F.when(c.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+
+
 def decimal_comma(c: ColumnOrName) -> Column:
     """``'20,53'`` as the double 20.53; text that is no number raises.
 
     ``replace`` searches bytes; ``translate`` looks up every character and is
     several times slower.
     """
-    return F.replace(column(c).cast("string"), F.lit(","), F.lit(".")).cast("double")
+    return strict_cast(F.replace(column(c).cast("string"), F.lit(","), F.lit(".")), "double")
 
 
 def _packed_part(c: ColumnOrName, index: int, on_bad: str) -> Column:
-    parts = F.split(column(c), ",")
+    value = F.get(F.split(column(c), ","), F.lit(index)).try_cast("double")
     if on_bad == "raise":
-        return parts.getItem(index).cast("double")
+        return or_raise(column(c), value)
     if on_bad == "null":
-        return F.get(parts, F.lit(index)).try_cast("double")
+        return value
     raise ValueError(f"on_bad must be 'raise' or 'null', not {on_bad!r}")
 
 
@@ -67,7 +82,8 @@ def last_chars(c: ColumnOrName, n: int) -> Column:
 
 def int_text(c: ColumnOrName) -> Column:
     """Number text as integer text: ``'01000'`` and ``'1000.0'`` are ``'1000'``."""
-    return column(c).cast("double").cast("bigint").cast("string")
+    c = column(c)
+    return or_raise(c, c.try_cast("double").try_cast("bigint").cast("string"))
 
 
 def joined_text(*parts: ColumnOrName) -> Column:

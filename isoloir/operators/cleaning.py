@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from isoloir.functions.columns import col
+from isoloir.functions.text import strict_cast
 from isoloir.schema import STATION_SCHEMA
 
 
@@ -28,6 +29,12 @@ def drop_incomplete(df: DataFrame, required: Sequence[str] | None = None) -> Dat
 def conform(df: DataFrame, schema: T.StructType = STATION_SCHEMA) -> DataFrame:
     """Exactly the schema's columns, in its order and types, found by name.
 
-    Casts are strict: a value that does not fit its type raises.
+    Casts are strict: a value that does not fit its type raises, in any session.
     """
-    return df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    kinds = {f.name: f.dataType for f in df.schema}
+    return df.select(*[_typed(f, kinds.get(f.name)).alias(f.name) for f in schema])
+
+
+def _typed(field: T.StructField, kind: T.DataType | None) -> Column:
+    """The column as it is where its type is the wanted one: no cast, no check."""
+    return col(field.name) if kind == field.dataType else strict_cast(field.name, field.dataType)

@@ -1,14 +1,16 @@
-"""Exact quantiles of a column, whatever its size and number of values.
+"""Exact quantiles of a column, whatever its size and distribution.
 
 ``percentile`` keeps every distinct value in one aggregation buffer and merges
-all of them in one task. Here each round is a grouped count over at most
-``BUCKETS`` equal-width buckets per open span, so what is shuffled and what
-any task holds is bounded. A round finds the buckets that hold the wanted
-ranks; the next one divides only the span of values really seen in them, until
-each wanted rank is a bucket's smallest or largest value. A span known to hold
-few rows is counted value by value, which ends it. Rates with two decimals
-need one round however many rows there are; a trillion different doubles need
-three.
+all of them in one task. Here the first pass makes a histogram of ``STEPS``
+equally full steps, which is approximate but tells between which two values each
+wanted rank must lie. The next pass counts exactly how many rows are below, at
+and between those values, and makes a histogram of what is between. So each pass
+leaves at most some four thousandths of the rows, however the values are spread;
+``FEW_ROWS`` or less are counted value by value, which ends it. A million rows
+take three passes at most, a trillion take five. Equal values are one cut and are
+never counted again. If a histogram errs, the exact counts say so and the rank is
+sought where they put it. Only the few numbers that describe the cells hit by a
+rank, and their histograms, reach the driver.
 """
 
 from __future__ import annotations
@@ -17,15 +19,18 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from isoloir.functions.columns import ColumnOrName, column
 
-BUCKETS = 16_384
-# A span of no more rows than this is counted by value instead of by bucket.
+STEPS = 1000
+# A span of no more rows than this is counted by value.
 FEW_ROWS = 100_000
 
+#: Rows, smallest and largest value, and histogram of a column.
+Start = tuple[int, float, float, Sequence[float]]
+
 
 @dataclass(frozen=True)
 class _Span:
@@ -39,20 +44,29 @@ class _Span:
     rows: int
     below: int
     ranks: tuple[int, ...]
+    histogram: tuple[float, ...]
 
     def holds(self, v: Column) -> Column:
         return v.between(self.low, self.high)
 
-    def bucket(self, v: Column, buckets: int, few_rows: int) -> Column:
-        if self.rows <= few_rows:
-            return v
-        # Never decreasing in v; low is in bucket 0 and high in the last one,
-        # so every round separates them.
-        if math.isinf(self.high - self.low):
-            share = (v / 2 - self.low / 2) / (self.high / 2 - self.low / 2)
-        else:
-            share = (v - self.low) / (self.high - self.low)
-        return F.floor(share * buckets).cast("double")
+    def cuts(self) -> list[float]:
+        """Values that the wanted ranks lie between, one step further on both sides."""
+        steps = len(self.histogram) - 1
+        found = set()
+        for rank in self.ranks:
+            step = (rank - self.below) * steps // self.rows
+            found |= {self.histogram[max(0, step - 1)], self.histogram[min(steps, step + 2)]}
+        return sorted(found)
+
+    def cell(self, v: Column) -> Column:
+        """Even numbers between the cuts, odd ones at them; ascending with the value."""
+        return sum((v >= c).cast("int") + (v > c).cast("int") for c in self.cuts())
+
+
+def histogram_of(v: Column, steps: int = STEPS) -> Column:
+    """``steps + 1`` values, about equally many rows between each two."""
+    shares = [k / steps for k in range(steps + 1)]
+    return F.percentile_approx(v, shares, 10 * steps)
 
 
 def numbers_of(df: DataFrame, c: ColumnOrName) -> DataFrame:
@@ -62,81 +76,95 @@ def numbers_of(df: DataFrame, c: ColumnOrName) -> DataFrame:
     return values.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
 
 
+def start_of(values: DataFrame, steps: int = STEPS) -> Start:
+    row = values.agg(F.count("v"), F.min("v"), F.max("v"), histogram_of(F.col("v"), steps)).first()
+    return tuple(row)
+
+
 def order_statistics(
     values: DataFrame,
     ranks: Sequence[int],
-    count: int,
-    low: float,
-    high: float,
-    buckets: int = BUCKETS,
+    start: Start,
+    steps: int = STEPS,
     few_rows: int = FEW_ROWS,
 ) -> dict[int, float]:
     """The values at the given 0-based ranks of column ``v``.
 
-    ``count``, ``low`` and ``high`` are the column's number of rows, smallest
-    and largest value. Only the few rows that describe the buckets hit by a
-    rank reach the driver.
+    ``start`` describes the whole column. Spans of ``steps`` rows or less are
+    counted by value also where ``few_rows`` is smaller.
     """
+    count, low, high, histogram = start
     found: dict[int, float] = {}
-    spans = [_Span(low, high, count, 0, tuple(sorted(set(ranks))))]
+    spans = [_Span(low, high, count, 0, tuple(sorted(set(ranks))), tuple(histogram))]
     while spans:
         for span in spans:
             if span.low == span.high:
                 found.update(dict.fromkeys(span.ranks, span.low))
         spans = [s for s in spans if s.low != s.high]
-        if spans:
-            spans = _next_spans(values, spans, buckets, few_rows, found)
+        few = [s for s in spans if s.rows <= max(few_rows, steps)]
+        many = [s for s in spans if s.rows > max(few_rows, steps)]
+        spans = []
+        if few:
+            _settle(few, _by_value(values, few), found)
+        if many:
+            spans = _settle(many, _by_cell(values, many, steps), found)
     return found
 
 
-def _next_spans(
-    values: DataFrame, spans: list[_Span], buckets: int, few_rows: int, found: dict[int, float]
-) -> list[_Span]:
+def _numbered(values: DataFrame, spans: list[_Span]) -> tuple[DataFrame, Column]:
+    """The rows in the spans, which never overlap, and the number of each row's span."""
     v = F.col("v")
-    # Spans never overlap: each is what one bucket of an earlier round held.
-    number = place = None
+    kept, number = spans[0].holds(v), F.when(spans[0].holds(v), 0)
+    for i, span in enumerate(spans[1:], 1):
+        kept, number = kept | span.holds(v), number.when(span.holds(v), i)
+    return values.where(kept), number.alias("span")
+
+
+def _by_cell(values: DataFrame, spans: list[_Span], steps: int) -> list[Row]:
+    """Every cell of the spans; there are as many as cuts, twice, and one."""
+    v = F.col("v")
+    rows, number = _numbered(values, spans)
+    cell = None
     for i, span in enumerate(spans):
-        inside = span.holds(v)
-        here = span.bucket(v, buckets, few_rows)
-        number = F.when(inside, i) if number is None else number.when(inside, i)
-        place = F.when(inside, here) if place is None else place.when(inside, here)
-    kept = spans[0].holds(v)
-    for span in spans[1:]:
-        kept = kept | span.holds(v)
-
-    counted = (
-        values.where(kept)
-        .groupBy(number.alias("span"), place.alias("bucket"))
-        .agg(F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
-    )
-    # At most buckets + 1 (or few_rows) counted rows per span are ordered here.
-    upto = F.sum("rows").over(Window.partitionBy("span").orderBy("bucket"))
+        here = span.cell(v)
+        cell = F.when(F.col("span") == i, here) if cell is None else cell.when(F.col("span") == i, here)
+    described = (F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
+    counted = rows.select("v", number).groupBy("span", cell.alias("cell"))
+    cells = counted.agg(*described, histogram_of(v, steps).alias("histogram")).collect()
+    return sorted(cells, key=lambda r: (r["span"], r["cell"]))
+
+
+def _by_value(values: DataFrame, spans: list[_Span]) -> list[Row]:
+    """The values of the spans that a wanted rank falls on, with what is before them."""
+    rows, number = _numbered(values, spans)
+    counted = rows.select("v", number).groupBy("span", "v").agg(F.count("*").alias("rows"))
+    # At most few_rows counted rows per span are ordered here.
+    upto = F.sum("rows").over(Window.partitionBy("span").orderBy("v"))
     hit = F.lit(False)
     for i, span in enumerate(spans):
         for rank in span.ranks:
             local = rank - span.below
-            hit = hit | (
-                (F.col("span") == i)
-                & (F.col("upto") - F.col("rows") <= local)
-                & (F.col("upto") > local)
-            )
-    hits = counted.withColumn("upto", upto).where(hit).collect()
-
-    rest = []
-    for row in hits:
-        span = spans[row["span"]]
-        last = span.below + row["upto"] - 1
+            passed = (F.col("upto") - F.col("rows") <= local) & (F.col("upto") > local)
+            hit = hit | ((F.col("span") == i) & passed)
+    return counted.withColumn("upto", upto).where(hit).collect()
+
+
+def _settle(spans: list[_Span], cells: list[Row], found: dict[int, float]) -> list[_Span]:
+    """Takes over the ranks that are known now; returns the cells that hold the others."""
+    rest, upto = [], [0] * len(spans)
+    for row in cells:
+        span, fields = spans[row["span"]], row.asDict()
+        upto[row["span"]] += row["rows"]
+        last = span.below + fields.get("upto", upto[row["span"]]) - 1
         first = last - row["rows"] + 1
-        pending = []
-        for rank in span.ranks:
-            if rank == first:
-                found[rank] = row["low"]
-            elif rank == last:
-                found[rank] = row["high"]
-            elif first < rank < last:
-                pending.append(rank)
+        low, high = fields.get("low", fields.get("v")), fields.get("high", fields.get("v"))
+        here = [r for r in span.ranks if first <= r <= last]
+        known = {first: low, last: high}
+        found.update({r: known[r] for r in here if r in known})
+        found.update({r: low for r in here if low == high})
+        pending = tuple(r for r in here if r not in found)
         if pending:
-            rest.append(_Span(row["low"], row["high"], row["rows"], first, tuple(pending)))
+            rest.append(_Span(low, high, row["rows"], first, pending, tuple(fields["histogram"])))
     return rest
 
 
@@ -144,26 +172,24 @@ def quantile_thresholds(
     df: DataFrame,
     c: ColumnOrName,
     classes: int = 6,
-    count: int | None = None,
-    low: float | None = None,
-    high: float | None = None,
-    buckets: int = BUCKETS,
+    start: Start | None = None,
+    steps: int = STEPS,
     few_rows: int = FEW_ROWS,
 ) -> tuple[float, ...]:
     """The ``classes - 1`` cut points, interpolated linearly between neighbours.
 
-    ``count``, ``low`` and ``high`` are used when the caller has them already.
-    No values give no thresholds.
+    ``start`` is used when the caller has it already. No values give no
+    thresholds.
     """
     values = numbers_of(df, c)
-    if count is None or low is None or high is None:
-        row = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
-        count, low, high = row
+    if start is None:
+        start = start_of(values, steps)
+    count = start[0]
     if not count:
         return ()
     places = [(count - 1) * (k / classes) for k in range(1, classes)]
     ranks = {r for p in places for r in (math.floor(p), math.ceil(p))}
-    at = order_statistics(values, sorted(ranks), count, low, high, buckets, few_rows)
+    at = order_statistics(values, sorted(ranks), start, steps, few_rows)
     cuts = []
     for place in places:
         left, right = at[math.floor(place)], at[math.ceil(place)]

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 from isoloir.functions.columns import ColumnOrName, column
 from isoloir.functions.scales import COLOURS, class_colour, linear_size, quantile_class
-from isoloir.operators.quantiles import approximate_thresholds, quantile_thresholds
+from isoloir.operators.quantiles import (
+    approximate_thresholds,
+    histogram_of,
+    quantile_thresholds,
+)
 from isoloir.schema import LATITUDE, LONGITUDE, RATE, REGISTERED
 
 
@@ -26,6 +30,12 @@ class LayerScales:
     west: float | None
     east: float | None
 
+    def fields(self) -> list[tuple[str, object, str]]:
+        """Name, value and type of every number, for a table of one row."""
+        names = ("size_low", "size_high", "south", "north", "west", "east")
+        numbers = [(n, getattr(self, n), "double") for n in names]
+        return [("thresholds", list(self.thresholds), "array<double>"), *numbers]
+
     @property
     def centre(self) -> tuple[float, float] | None:
         if self.south is None or self.west is None:
@@ -34,19 +44,20 @@ class LayerScales:
 
 
 def _finite(c: Column) -> Column:
+    """Null instead of NaN and infinity, which would make every bound useless."""
     return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
 
 
 def size_domain(df: DataFrame, size: ColumnOrName = REGISTERED) -> DataFrame:
-    size = column(size)
+    size = _finite(column(size))
     return df.agg(F.min(size).alias("size_min"), F.max(size).alias("size_max"))
 
 
 def extent(
     df: DataFrame, latitude: ColumnOrName = LATITUDE, longitude: ColumnOrName = LONGITUDE
 ) -> DataFrame:
-    """One row: the bounding box of the points and its centre."""
-    lat, lon = column(latitude), column(longitude)
+    """One row: the bounding box of the points that have a place, and its centre."""
+    lat, lon = _finite(column(latitude)), _finite(column(longitude))
     box = df.agg(
         F.min(lat).alias("south"),
         F.max(lat).alias("north"),
@@ -71,17 +82,19 @@ def fit_scales(
 ) -> LayerScales:
     """The scales of exactly these rows.
 
-    One aggregate gives the counts, domains and bounds; the quantiles follow
-    in as many narrow passes over the rate alone as its values need. With
-    ``accuracy`` they are approximate and take one pass. Rows that are costly
-    to compute should be stored first and read back.
+    One aggregate gives the counts, domains and bounds and a first histogram of
+    the rate; the exact quantiles follow in a few narrow passes over the rate
+    alone. With ``accuracy`` they are approximate and take one pass. What is null,
+    NaN or infinite shapes no scale. Rows that are costly to compute should be
+    stored first and read back.
     """
     value = _finite(column(rate).cast("double"))
-    size, lat, lon = column(size), column(latitude), column(longitude)
+    size, lat, lon = (_finite(column(c)) for c in (size, latitude, longitude))
     row = df.agg(
         F.count(value).alias("n"),
         F.min(value).alias("low"),
         F.max(value).alias("high"),
+        histogram_of(value).alias("histogram"),
         F.min(size).alias("size_low"),
         F.max(size).alias("size_high"),
         F.min(lat).alias("south"),
@@ -90,7 +103,8 @@ def fit_scales(
         F.max(lon).alias("east"),
     ).first()
     if accuracy is None:
-        cuts = quantile_thresholds(df, rate, classes, row["n"], row["low"], row["high"])
+        start = (row["n"], row["low"], row["high"], row["histogram"])
+        cuts = quantile_thresholds(df, rate, classes, start)
     else:
         cuts = approximate_thresholds(df, rate, classes, accuracy)
     return LayerScales(

@@ -2,23 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import sys
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoloir.functions.columns import ColumnOrName, col, column
 
-# Longer lists are joined as a table instead of being written into the plan.
+# Longer lists are joined as a table instead of being written into the plan. Only the plan
+# differs: rows, columns and their order are the same.
 INLINE_VALUES = 10_000
+# What is trimmed from chosen values, in lists and in tables: every white-space character.
+BLANKS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
 
 
 def chosen_values(values: Iterable[str | None]) -> list[str]:
     """Distinct form values, trimmed, blanks left out, first occurrence first."""
-    trimmed = ((v or "").strip() for v in values)
+    trimmed = ((v or "").strip(BLANKS) for v in values)
     return list(dict.fromkeys(v for v in trimmed if v))
 
 
+def _trimmed(c: Column) -> Column:
+    return F.btrim(c, F.lit(BLANKS))
+
+
+def _listed(spark: SparkSession, **columns: Sequence[str]) -> DataFrame:
+    """Rows that the plan holds: Spark knows their size, so a short list is broadcast
+    before the rows it selects from are shuffled."""
+    return spark.createDataFrame(pa.table({n: pa.array(v, pa.string()) for n, v in columns.items()}))
+
+
+def _semi_join(df: DataFrame, wanted: DataFrame, names: Sequence[str]) -> DataFrame:
+    kept = df.join(wanted, list(names), "left_semi")
+    # A join on names moves them to the front.
+    return kept.select(*[col(n) for n in df.columns])
+
+
 def where_equals(df: DataFrame, c: ColumnOrName, value) -> DataFrame:
     return df.where(column(c) == F.lit(value))
 
@@ -44,43 +65,52 @@ def where_without_prefixes(df: DataFrame, c: ColumnOrName, prefixes: Iterable[st
     return df.where(kept)
 
 
-def where_member(df: DataFrame, name: str, chosen: Iterable[str | None] | DataFrame) -> DataFrame:
+def where_member(
+    df: DataFrame,
+    name: str,
+    chosen: Iterable[str | None] | DataFrame,
+    inline: int = INLINE_VALUES,
+) -> DataFrame:
     """Rows whose ``name`` is one of the chosen texts; nothing chosen, no rows.
 
     ``chosen`` is a list as a form submits it, or a one-column DataFrame.
-    Repeats and blanks do no harm. Whether a selection table is broadcast is
-    left to Spark's size check.
+    Repeats and blanks do no harm. Up to ``inline`` listed values are a filter
+    that a scan takes over; more are joined, as a table is, and whether that is
+    by broadcast is left to Spark's size check.
     """
     if not isinstance(chosen, DataFrame):
         values = chosen_values(chosen)
-        if len(values) <= INLINE_VALUES:
+        if len(values) <= inline:
             return df.where(col(name).isin(values))
-        chosen = df.sparkSession.createDataFrame([(v,) for v in values], f"`{name}` string")
-    wanted = chosen.select(F.trim(col(chosen.columns[0])).alias(name))
-    return df.join(wanted.where(col(name) != "").distinct(), name, "left_semi")
+        chosen = _listed(df.sparkSession, value=values)
+    wanted = chosen.select(_trimmed(col(chosen.columns[0])).alias(name))
+    return _semi_join(df, wanted.where(col(name) != ""), [name])
 
 
 def where_any_pair(
-    df: DataFrame, first: str, second: str, chosen: Iterable[tuple[str, str]] | DataFrame
+    df: DataFrame,
+    first: str,
+    second: str,
+    chosen: Iterable[tuple[str, str]] | DataFrame,
+    inline: int = INLINE_VALUES,
 ) -> DataFrame:
     """Rows whose two columns equal one of the chosen pairs.
 
     Tells apart communes of the same name in two departments. ``chosen`` is a
-    list of pairs or a two-column DataFrame.
+    list of pairs or a two-column DataFrame. Of a list, the different values of
+    each column are a filter that a scan takes over (up to ``inline`` of them);
+    the pairs themselves are joined.
     """
     if not isinstance(chosen, DataFrame):
-        trimmed = (((a or "").strip(), (b or "").strip()) for a, b in chosen)
+        trimmed = (((a or "").strip(BLANKS), (b or "").strip(BLANKS)) for a, b in chosen)
         pairs = list(dict.fromkeys((a, b) for a, b in trimmed if a and b))
-        if len(pairs) <= INLINE_VALUES:
-            by_first: dict[str, list[str]] = {}
-            for a, b in pairs:
-                by_first.setdefault(a, []).append(b)
-            kept = F.lit(False)
-            for a, seconds in by_first.items():
-                kept = kept | ((col(first) == a) & col(second).isin(seconds))
-            return df.where(kept)
-        chosen = df.sparkSession.createDataFrame(pairs, "a string, b string")
+        firsts, seconds = [p[0] for p in pairs], [p[1] for p in pairs]
+        kept = df
+        for name, values in ((first, set(firsts)), (second, set(seconds))):
+            if len(values) <= inline:
+                kept = kept.where(col(name).isin(sorted(values)))
+        chosen = _listed(df.sparkSession, first=firsts, second=seconds)
+        df = kept
     a, b = chosen.columns
-    wanted = chosen.select(F.trim(col(a)).alias(first), F.trim(col(b)).alias(second))
-    wanted = wanted.where((col(first) != "") & (col(second) != "")).distinct()
-    return df.join(wanted, [first, second], "left_semi")
+    wanted = chosen.select(_trimmed(col(a)).alias(first), _trimmed(col(b)).alias(second))
+    return _semi_join(df, wanted.where((col(first) != "") & (col(second) != "")), [first, second])

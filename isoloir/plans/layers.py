@@ -17,7 +17,7 @@ from isoloir.schema import (
     RATE,
     REGISTERED,
 )
-from isoloir.sources.tables import read_layer
+from isoloir.sources.tables import read_layer, read_scales
 
 SHOWN_RATE = "Pourcentage Abstentions"
 # The fields of a point's tooltip, in display order.
@@ -31,24 +31,34 @@ def points(stations: DataFrame) -> DataFrame:
     return shown.select(*[col(c) for c in (LATITUDE, LONGITUDE, *TOOLTIP)])
 
 
-def map_layer(
+def layer_with_scales(
     stations: DataFrame, scales: LayerScales | None = None, accuracy: int | None = None
-) -> DataFrame:
-    """Points with tooltip fields and visual channels for these stations.
+) -> tuple[DataFrame, LayerScales]:
+    """Points with tooltip fields and visual channels, and the scales they were made with.
 
-    The scales belong to the rows shown, so they are fitted on them (a few
+    The scales hold the thresholds, size domain, bounds and centre that a legend and a
+    view need. They belong to the rows shown, so they are fitted on them (a few
     aggregates over two or three columns) unless given. Ask of a stored table:
     an unstored build would be computed again by each of them.
     """
     if scales is None:
         scales = fit_scales(stations, accuracy=accuracy)
-    return apply_scales(points(stations), scales, SHOWN_RATE, REGISTERED)
+    return apply_scales(points(stations), scales, SHOWN_RATE, REGISTERED), scales
+
+
+def map_layer(
+    stations: DataFrame, scales: LayerScales | None = None, accuracy: int | None = None
+) -> DataFrame:
+    """The layer of ``layer_with_scales`` alone."""
+    return layer_with_scales(stations, scales, accuracy)[0]
 
 
 def national_layer(
     spark: SparkSession, stations: DataFrame | None = None, saved: str | None = None
-) -> DataFrame:
-    """Metropolitan France: the saved layer if there is one, else computed now."""
+) -> tuple[DataFrame, LayerScales]:
+    """Metropolitan France with its scales: as saved if it was, else computed now."""
     if saved is not None:
-        return read_layer(spark, saved)
-    return map_layer(metropolitan(stations))
+        return read_layer(spark, saved), read_scales(spark, saved)
+    if stations is None:
+        raise ValueError("a national layer needs stations or the path of a saved one")
+    return layer_with_scales(metropolitan(stations))

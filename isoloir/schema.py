@@ -71,8 +71,10 @@ class SourceSpec:
 
     ``columns`` are the required header names, in the order wanted; ``None``
     keeps every column. ``line_sep`` is left to Spark (LF, CRLF and CR all end
-    a record) unless a file needs one particular terminator. ``partitions``
-    spreads the rows after the scan, for compressed files that one task reads.
+    a record) unless a file needs one particular terminator. ``multiline`` allows
+    line breaks inside quoted fields; such a file is one scan task, whatever its
+    size. ``partitions`` spreads the rows after the scan, for files that one task
+    reads.
     """
 
     separator: str = ";"
@@ -94,6 +96,7 @@ class ElectionSpec:
     address: tuple[str, ...]
     renames: Mapping[str, str] = field(default_factory=dict)
     integer_text: tuple[str, ...] = ()
+    # Column names of the published files, here and in the elections below.
     official: SourceSpec = SourceSpec(
         columns=(
             CODE,
@@ -116,6 +119,8 @@ class ElectionSpec:
             "longitude",
             "latitude",
         ),
+        # Addresses are quoted and may hold line breaks.
+        multiline=True,
     )
     # The department rebuilt from the official results and the geo table.
     rebuilt_department: str = "Paris"

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def session_builder(app: str = "isoloir", scan_block: str = "128MB") -> SparkSession.Builder:
+def session_builder(
+    app: str = "isoloir", scan_block: str = "128MB", hash_join_below: str = "16MB"
+) -> SparkSession.Builder:
     """A builder with the wanted settings; master, memory and paths stay open.
 
     ``scan_block`` is how many bytes of a file one scan task reads.
+    ``hash_join_below`` is the measured size (compressed) up to which a shuffled
+    build partition is hashed instead of sorted. A hashed partition cannot spill,
+    so several times this size, for each core of an executor, must fit its memory.
     """
     return (
         SparkSession.builder.appName(app)
@@ -24,7 +27,7 @@ def session_builder(app: str = "isoloir", scan_block: str = "128MB") -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Hash instead of sort once every measured build partition is this small.
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", hash_join_below)
         # Do not look up the Python call site of every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
@@ -32,14 +35,16 @@ def session_builder(app: str = "isoloir", scan_block: str = "128MB") -> SparkSes
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder that ``spark.checkpoint.dir`` names.
+    """A new path below a folder that the driver and all executors share.
 
-    Only a local-mode session may go without that setting: its executors and
-    its driver share one machine.
+    That is what ``spark.checkpoint.dir`` names or, where it is unset, the
+    warehouse. What one session writes there is removed when it ends in order.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = os.path.join(tempfile.gettempdir(), "isoloir-scratch")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{root}/{name}-{uuid.uuid4().hex}"

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import re
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from isoloir.functions.columns import col
+from isoloir.operators.scales import LayerScales
 from isoloir.schema import ELECTION
 
 
@@ -23,29 +26,42 @@ def _clustered(df: DataFrame, partition: str, cluster_by: Sequence[str]) -> Data
     return df.hint("rebalance", *keys).sortWithinPartitions(*keys)
 
 
+def _folder_of(partition: str, value: object) -> str:
+    """The folder of a partition; values that Spark would write escaped are refused."""
+    if not re.fullmatch(r"[\w.-]+", str(value), re.ASCII):
+        raise ValueError(f"cannot name a folder after {value!r}")
+    return f"{partition}={value}"
+
+
 def replace_stations(
     df: DataFrame,
     path: str,
     partition: str = ELECTION,
     cluster_by: Sequence[str] = (),
     max_records_per_file: int = 0,
+    elections: Iterable[object] | None = None,
 ) -> None:
     """Write ``df`` so that each election in it replaces its stored rows.
 
-    Elections that ``df`` does not hold stay as they are, so an empty ``df``
-    replaces nothing. Without
+    Elections that ``df`` does not hold stay as they are. With ``elections``,
+    exactly those are replaced, one job each: one that has no rows in ``df`` has
+    none afterwards, and rows of others are not written. Without
     ``cluster_by`` there is no shuffle; with it, one shuffle at build time lets
     later reads by those columns skip row groups. The replaced files go when
-    the whole job commits. Never pass a ``df`` that reads ``path`` itself.
+    the job commits. Never pass a ``df`` that reads ``path`` itself.
     """
-    (
-        _clustered(df, partition, cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    if elections is None:
+        targets = {path: _clustered(df, partition, cluster_by)}
+    else:
+        targets = {}
+        for value in elections:
+            rows = _clustered(df.where(col(partition) == F.lit(value)), partition, cluster_by)
+            targets[f"{path}/{_folder_of(partition, value)}"] = rows.drop(partition)
+    for target, rows in targets.items():
+        writer = rows.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+        if elections is None:
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
+        writer.parquet(target)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> bool:
@@ -72,37 +88,57 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 
 def replace_table(
-    df: DataFrame, table: str, partition: str = ELECTION, path: str | None = None
+    df: DataFrame,
+    table: str,
+    partition: str = ELECTION,
+    path: str | None = None,
+    elections: Iterable[object] | None = None,
 ) -> None:
     """As ``replace_stations``, for a catalogue table, made on the first call."""
     spark = df.sparkSession
-    if spark.catalog.tableExists(table):
-        names = spark.table(table).columns
+    if not spark.catalog.tableExists(table):
+        kept = df if elections is None else df.where(col(partition).isin(list(elections)))
+        writer = kept.write.format("parquet").partitionBy(partition)
+        if path is not None:
+            writer = writer.option("path", path)
+        writer.saveAsTable(table)
+        return
+    names = spark.table(table).columns
+    rows = df.select(*[col(n) for n in names])
+    if elections is None:
         with _dynamic_overwrite(spark):
-            df.select(*[col(n) for n in names]).write.insertInto(table, overwrite=True)
+            rows.write.insertInto(table, overwrite=True)
         return
-    writer = df.write.format("parquet").partitionBy(partition)
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    quoted = "`" + partition.replace("`", "``") + "`"
+    for value in elections:
+        # A named partition is emptied also by a query without rows.
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({quoted} = :value) SELECT * FROM {{rows}}",
+            args={"value": value},
+            rows=rows.where(col(partition) == F.lit(value)).drop(partition),
+        )
 
 
-def save_layer(layer: DataFrame, path: str) -> None:
-    """Store a finished layer; serving it later is a plain scan."""
-    layer.write.mode("overwrite").parquet(path)
+def save_layer(layer: DataFrame, path: str, scales: LayerScales | None = None) -> None:
+    """Store a finished layer, and its scales beside it; serving it is a plain scan."""
+    layer.write.mode("overwrite").parquet(f"{path}/points")
+    if scales is not None:
+        row = layer.sparkSession.range(1).select(*[F.lit(v).cast(t).alias(n) for n, v, t in scales.fields()])
+        row.write.mode("overwrite").parquet(f"{path}/scales")
 
 
 def write_stations_jdbc(
     df: DataFrame,
     url: str,
     table: str,
+    connections: int,
     properties: Mapping[str, str] | None = None,
-    connections: int = 42,
     batch_size: int = 10_000,
 ) -> None:
     """Replace a relational table; at most ``connections`` tasks write at once.
 
-    Spark drops and refills the table, so readers see it part-filled meanwhile.
+    How many the database grants is for the caller to say. Spark drops and
+    refills the table, so readers see it part-filled meanwhile.
     """
     (
         df.write.mode("overwrite")

@@ -39,7 +39,7 @@ def test_split_coordinates(spark):
 
 def test_split_coordinates_without_comma(spark):
     df = values(spark, "48.8")
-    with pytest.raises(PySparkException, match="INVALID_ARRAY_INDEX"):
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT: 48.8"):
         one(df, fn.longitude_of("x"))
     assert one(df, fn.latitude_of("x", "null")) == [48.8]
     assert one(df, fn.longitude_of("x", "null")) == [None]
@@ -48,6 +48,28 @@ def test_split_coordinates_without_comma(spark):
         fn.latitude_of("x", "ignore")
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strictness_does_not_depend_on_the_session(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        strict = {
+            fn.decimal_comma: "1,2,3",
+            fn.latitude_of: "x,5",
+            fn.longitude_of: "46.2",
+            fn.int_text: "2A",
+            lambda c: fn.strict_cast(c, "int"): "3000000000",
+        }
+        for f, bad in strict.items():
+            with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+                one(values(spark, bad), f("x"))
+            assert one(values(spark, None), f("x")) == [None]
+        assert one(values(spark, "46.2, 5.22"), fn.longitude_of("x")) == [5.22]
+        assert one(values(spark, "01000"), fn.int_text("x")) == ["1000"]
+        assert one(values(spark, "x", "1,5"), fn.latitude_of("x", "null")) == [None, 1.0]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_label_with_code(spark):
     df = spark.createDataFrame([("Ain", "01"), ("Ain", None), (None, "01")], "l string, c string")
     assert one(df, fn.label_with_code("l", "c")) == ["Ain (01)", None, None]

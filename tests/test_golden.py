@@ -15,7 +15,8 @@ from isoloir.plans.questions import (
     metropolitan,
     stations_in,
 )
-from isoloir.schema import COMMUNE, ELECTION, FRANCE_2017, LABEL, STATION_SCHEMA, STORED_SCHEMA
+from isoloir.functions import col
+from isoloir.schema import CODE, COMMUNE, ELECTION, FRANCE_2017, LABEL, STATION_SCHEMA, STORED_SCHEMA
 
 WANTED_2017 = {
     ("01", "Ain", "Bourg", 1000, 205, 20.5, 46.2, 5.22, "Ain (01)", "1 rue A Bourg 1000"),
@@ -105,6 +106,8 @@ def test_stations_in_pairs(spark, stations_2017):
 
 def test_metropolitan(stations_2022):
     assert {r[2] for r in rows(metropolitan(stations_2022))} == {"Bordeaux", "Paris"}
+    overseas = stations_2022.limit(1).withColumn(CODE, F.explode(F.array(*map(F.lit, ("971", "988", "96", "9")))))
+    assert {r[0] for r in rows(metropolitan(overseas).select(col(CODE)))} == {"96", "9"}
 
 
 def test_in_department(stations_2017):
@@ -145,7 +148,7 @@ def test_scales_belong_to_the_shown_rows(stations_2017):
 
 
 def test_national_layer_computed(spark, stations_2022):
-    assert national_layer(spark, stations_2022).count() == 2
+    assert national_layer(spark, stations_2022)[0].count() == 2
 
 
 def test_no_python_in_the_plan(stations_2017):

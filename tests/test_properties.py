@@ -88,11 +88,16 @@ def test_relational_calls(spark, stations, monkeypatch):
     monkeypatch.setattr(
         DataFrameReader, "jdbc", lambda self, url, table, **kw: calls.append((url, table, kw)) or empty
     )
-    write_stations_jdbc(stations, "jdbc:x", "stations_2017", {"user": "u"})
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: empty)
+    monkeypatch.setattr(
+        DataFrameReader, "options", lambda self, **kw: calls.append(("options", kw)) or self
+    )
+    write_stations_jdbc(stations, "jdbc:x", "stations_2017", 12, {"user": "u"})
     read_stations_jdbc(spark, "jdbc:x", "stations_2017", ["a < 1", "a >= 1"])
-    read_stations_jdbc(spark, "jdbc:x", "stations_2017")
+    read_stations_jdbc(spark, "jdbc:x", "stations_2017", properties={"user": "u"}, fetch_size=7)
+    rows = {"fetchsize": "10000"}
     assert calls == [
         ("jdbc:x", "stations_2017", {"properties": {"user": "u"}}),
-        ("jdbc:x", "stations_2017", {"predicates": ["a < 1", "a >= 1"], "properties": {}}),
-        ("jdbc:x", "stations_2017", {"properties": {}}),
+        ("jdbc:x", "stations_2017", {"predicates": ["a < 1", "a >= 1"], "properties": rows}),
+        ("options", {"url": "jdbc:x", "dbtable": "stations_2017", "fetchsize": "7", "user": "u"}),
     ]

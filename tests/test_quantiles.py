@@ -3,12 +3,13 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
-from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from isoloir.operators import approximate_thresholds, order_statistics, quantile_thresholds
-from isoloir.operators.quantiles import numbers_of
+from isoloir.operators.quantiles import numbers_of, start_of
 
 RNG = np.random.default_rng(7)
 N = 4000
@@ -41,9 +42,7 @@ def test_order_statistics_are_exact(spark, name, few_rows):
     n = len(numbers)
     ranks = sorted({0, n - 1, n // 2, *((n * k) // 6 for k in range(1, 6))})
     values = numbers_of(frame(spark, numbers), "x")
-    got = order_statistics(
-        values, ranks, n, float(numbers[0]), float(numbers[-1]), buckets=256, few_rows=few_rows
-    )
+    got = order_statistics(values, ranks, start_of(values, 256), steps=256, few_rows=few_rows)
     assert got == {r: numbers[r] for r in ranks}
 
 
@@ -67,32 +66,39 @@ def test_whole_table_in_small_steps(spark):
     lineitem = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
     prices = np.array([r[0] for r in lineitem.select("l_extendedprice").collect()])
     wanted = np.quantile(prices, [k / 6 for k in range(1, 6)])
-    got = quantile_thresholds(lineitem, "l_extendedprice", buckets=32, few_rows=50)
+    got = quantile_thresholds(lineitem, "l_extendedprice", steps=32, few_rows=50)
     assert got == pytest.approx(tuple(wanted), rel=1e-12)
 
 
-def test_rounds_count_buckets_not_values(spark):
-    """What a round shuffles is bounded by the buckets, not by the rows."""
-    lineitem = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
-    seen = []
-    values = numbers_of(lineitem, "l_extendedprice")
-    count, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    from isoloir.operators import quantiles
-
-    plain = quantiles._next_spans
-
-    def watched(values, spans, *rest):
-        seen.append([(s.rows, len(s.ranks)) for s in spans])
-        return plain(values, spans, *rest)
-
-    quantiles._next_spans = watched
-    try:
-        order_statistics(values, [count // 6, count // 2], count, low, high, 1024, few_rows=0)
-    finally:
-        quantiles._next_spans = plain
-    assert seen[0] == [(count, 2)]
-    assert len(seen) <= 4
-    assert all(sum(rows for rows, _ in spans) < count / 100 for spans in seen[1:])
+SPREAD = {
+    "two hundred decades": 10.0 ** RNG.uniform(-100, 100, 300_000),
+    "whole double range": RNG.integers(0, 2**63, 300_000).view(np.float64),
+    "one value holds two thirds": np.where(RNG.random(300_000) < 0.67, 50.0, RNG.random(300_000) * 100),
+}
+
+
+@pytest.mark.parametrize("name", SPREAD)
+def test_few_passes_whatever_the_distribution(spark, name, monkeypatch):
+    numbers = np.sort(SPREAD[name][np.isfinite(SPREAD[name])])
+    jobs = []
+    for action in ("collect", "first"):
+        plain = getattr(DataFrame, action)
+        monkeypatch.setattr(DataFrame, action, lambda df, plain=plain: (jobs.append(1), plain(df))[1])
+    df = spark.createDataFrame(pa.table({"x": numbers}))
+    got = quantile_thresholds(df, "x", few_rows=10_000)
+    assert len(jobs) <= 4
+    places = [(len(numbers) - 1) * (k / 6) for k in range(1, 6)]
+    for cut, place in zip(got, places):
+        left, right = numbers[math.floor(place)], numbers[math.ceil(place)]
+        assert cut == left + (right - left) * (place - math.floor(place))
+
+
+def test_a_histogram_that_errs_costs_passes_and_no_exactness(spark):
+    numbers = np.sort(RNG.random(5000))
+    values = numbers_of(frame(spark, numbers), "x")
+    wrong = (5000, float(numbers[0]), float(numbers[-1]), [float(x) for x in np.linspace(0.9, 0.95, 65)])
+    got = order_statistics(values, [0, 100, 2500, 4999], wrong, steps=64, few_rows=0)
+    assert got == {r: numbers[r] for r in (0, 100, 2500, 4999)}
 
 
 def test_approximate_thresholds(spark):

@@ -6,16 +6,18 @@ import pytest
 from conftest import EXPORT_2017, SF_DIR, rows
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.conf import RuntimeConfig
 
 from isoloir.__main__ import arguments, run
 from isoloir.functions import col, drop_first_char
-from isoloir.operators import conform, drop_incomplete
-from isoloir.plans.layers import map_layer, national_layer
+from isoloir.operators import conform, drop_incomplete, fit_scales
+from isoloir.plans.layers import layer_with_scales, map_layer, national_layer
 from isoloir.plans.questions import metropolitan, stations_in
 from isoloir.schema import CODE, COMMUNE, ELECTION, FRANCE_2017, SourceSpec
 from isoloir.session import scratch_folder, session_builder
 from isoloir.sinks import ensure_database, replace_stations, replace_table, save_layer
-from isoloir.sources import clean_copy, read_delimited, read_stations
+from isoloir.sources import clean_copy, read_delimited, read_stations, read_stations_jdbc
+from isoloir.sources.tables import jdbc_options
 
 
 def written(tmp_path, name, data):
@@ -172,19 +174,64 @@ def test_database_and_table(spark, stations_2017, stations_2022, tmp_path):
 
 def test_saved_layer(spark, stations_2022, tmp_path):
     path = str(tmp_path / "layer")
-    layer = map_layer(metropolitan(stations_2022))
-    save_layer(layer, path)
-    assert sorted(rows(national_layer(spark, saved=path))) == sorted(rows(layer))
+    layer, scales = layer_with_scales(metropolitan(stations_2022))
+    save_layer(layer, path, scales)
+    saved, read = national_layer(spark, saved=path)
+    assert sorted(rows(saved)) == sorted(rows(layer)) == sorted(rows(map_layer(metropolitan(stations_2022))))
+    assert read == scales and len(read.thresholds) == 5 and read.centre == scales.centre
+    save_layer(layer.where("false"), path, fit_scales(metropolitan(stations_2022).where("false")))
+    assert national_layer(spark, saved=path)[1].centre is None
+
+
+def test_national_layer_needs_rows(spark, stations_2022):
+    with pytest.raises(ValueError, match="needs stations"):
+        national_layer(spark)
+    assert national_layer(spark, stations_2022)[1] == fit_scales(metropolitan(stations_2022))
+
+
+def test_a_named_election_without_rows_has_none_afterwards(spark, stations_2017, stations_2022, tmp_path):
+    path = str(tmp_path / "stations")
+    both = stations_2017.unionByName(stations_2022)
+    replace_stations(both, path)
+    replace_stations(stations_2017.where("false"), path, elections=[2017], cluster_by=(CODE,))
+    assert dict(rows(read_stations(spark, path).groupBy(ELECTION).count())) == {2022: 3}
+    # Rows of elections that are not named are not written.
+    replace_stations(both, path, elections=[2017])
+    assert dict(rows(read_stations(spark, path).groupBy(ELECTION).count())) == {2017: 4, 2022: 3}
+    with pytest.raises(ValueError, match="folder"):
+        replace_stations(both, path, elections=["../x"])
+
+
+def test_jdbc_reader_is_asked_for(spark, monkeypatch):
+    asked = jdbc_options("jdbc:x", "stations", 2022, "code", (1, 95), 8, 500)
+    assert asked == {
+        "url": "jdbc:x", "dbtable": "(SELECT * FROM stations WHERE election = 2022) AS chosen",
+        "fetchsize": "500", "partitionColumn": "code", "lowerBound": "1", "upperBound": "95",
+        "numPartitions": "8",
+    }
+    assert jdbc_options("jdbc:x", "t") == {"url": "jdbc:x", "dbtable": "t", "fetchsize": "10000"}
+    with pytest.raises(ValueError, match="bounds"):
+        jdbc_options("jdbc:x", "t", split_by="code")
+    with pytest.raises(ValueError, match="either"):
+        read_stations_jdbc(spark, "jdbc:x", "t", ["a = 1"], split_by="a", bounds=(0, 1), tasks=2)
 
 
 def test_scratch_folder_is_below_the_shared_one(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
-    assert first.startswith(base + "/x-") and first != second
+    assert first.startswith(f"{base}/scratch-") and first != second
+
+
+def test_scratch_folder_without_a_checkpoint_folder_is_in_the_warehouse(spark, monkeypatch):
+    plain = RuntimeConfig.get
+    hidden = lambda self, key, *a: None if key == "spark.checkpoint.dir" else plain(self, key, *a)
+    monkeypatch.setattr(RuntimeConfig, "get", hidden)
+    assert scratch_folder(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def test_session_settings():
-    options = session_builder("x", "8MB")._options
+    options = session_builder("x", "8MB", hash_join_below="2MB")._options
+    assert options["spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"] == "2MB"
     assert options["spark.sql.files.maxPartitionBytes"] == "8MB"
     assert options["spark.sql.ansi.enabled"] == "true"
 
