@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isoloir.llm.common import text_of
-from isoloir.llm.units import UnitEncoder, batches_of
+from isoloir.llm.units import UnitEncoder, blocks_of
 
 ENCODED = "doc_id {key}, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string"
 _NONE = np.int64(1) << 60
@@ -184,7 +184,7 @@ def encode_documents(
         code = codec(path, pattern)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for start, end in batches_of(texts):
+            for start, end in blocks_of(texts):
                 encoded = code.encode(texts[start:end])
                 columns = [
                     batch.column(0).slice(start, end - start),

@@ -13,20 +13,26 @@ A piece finds its place by its rank among the pieces of its length. Ranks are co
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloir.llm.common import stored, text_of
-from isoloir.llm.units import UnitEncoder, batches_of
+from isoloir.llm.units import UnitEncoder, blocks_of
 
 CAPACITY = 2048
 BUCKETS = 256
+#: How a byte-level vocabulary splits text before the merges; a fixed value of such files.
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 #: The id that ends every document.
 END_ID = 0
 
@@ -37,18 +43,71 @@ PLACED = (
 )
 
 
-@lru_cache(maxsize=1)
-def encoder(path: str) -> UnitEncoder:
-    """One encoder in each Python worker, for all its tasks."""
-    from tokenizers import Tokenizer
+def _byte_of_letter() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for.
+
+    Printable bytes stand for themselves, the others follow from 256 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
-    tokenizer = Tokenizer.from_file(path)
 
-    def parts_ids(parts: list[str]) -> list[bytes]:
-        encoded = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+class Vocabulary:
+    """A byte-level BPE tokenizer file, encoding many parts in one call.
 
-    return UnitEncoder(parts_ids)
+    The file's merges make its tokens in the order of their ids, so that a merge's rank is
+    its token's id; a file for which that is not so is refused.
+    """
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        model, split = described["model"], described["pre_tokenizer"]
+        plain = (model["type"], split["type"], split["add_prefix_space"], described["normalizer"])
+        if plain != ("BPE", "ByteLevel", False, None):
+            raise ValueError(f"not a plain byte-level BPE: {plain}")
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"][a + b] for a, b in pairs]
+        special = {t["content"]: t["id"] for t in described["added_tokens"]}
+        letters = _byte_of_letter()
+        ranks = {
+            bytes(letters[c] for c in token): rank
+            for token, rank in model["vocab"].items()
+            if token not in special
+        }
+        if made != sorted(made) or made[:1] != [256] or len(ranks) != 256 + len(set(made)):
+            raise ValueError("the merges do not make the tokens in the order of their ids")
+        self.encoding = tiktoken.Encoding(
+            "file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special
+        )
+        tokens = {**{rank: len(t) for t, rank in ranks.items()}, **{i: len(t.encode()) for t, i in special.items()}}
+        self.sizes = np.zeros(max(tokens) + 1, np.int64)
+        self.sizes[list(tokens)] = list(tokens.values())
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.encoding.encode(text, allowed_special="all"), "<u4")
+
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part. Those that begin with a space are encoded as one text."""
+        out = [b""] * len(parts)
+        spaced = [k for k, part in enumerate(parts) if part[0] == " " and part[1:2].strip()]
+        ids = self.encode("".join([parts[k] for k in spaced]))
+        ends = np.cumsum([len(parts[k].encode("utf-8", "surrogatepass")) for k in spaced], dtype=np.int64)
+        at = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
+        data, start = ids.tobytes(), 0
+        for k, end in zip(spaced, at, strict=True):
+            out[k] = data[start:end]
+            start = end
+        for k in set(range(len(parts))).difference(spaced):
+            out[k] = self.encode(parts[k]).tobytes()
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> UnitEncoder:
+    """One encoder in each Python worker, for all its tasks."""
+    return UnitEncoder(Vocabulary(path).encode_parts)
 
 
 def cuts(tokens: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -72,7 +131,7 @@ def cut_documents(
         encode = encoder(path).encode
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for first, last in batches_of(texts):
+            for first, last in blocks_of(texts):
                 rows, found = [], []
                 for k, encoded in enumerate(encode(texts[first:last]), first):
                     data = encoded + end

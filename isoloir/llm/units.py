@@ -1,9 +1,9 @@
 """Parts of a text that byte-level BPE encodes one by one, whatever stands around them.
 
-The pattern that splits text before the merges never matches across a place between a
-character that is no white space and a single space before another such character: the
-space begins a match there. Texts are cut at those places, and each different part is
-encoded once and kept for later texts. A part may hold other white space inside.
+The pattern that splits text before the merges always begins a match at a single space
+before a character that is no white space, and what it matches before that space does not
+depend on what follows. Texts are cut at those spaces, and each different part is encoded
+once and kept for later texts.
 """
 
 from __future__ import annotations
@@ -11,15 +11,17 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-#: Parts kept at most; then all are forgotten.
+#: Parts kept at most from one block of texts to the next; then all are forgotten.
 KEPT_PARTS = 300_000
+#: Characters of a block of texts, about.
+BLOCK_CHARS = 12_000_000
 
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+_CUT = re.compile(r"(?= \S)")
 
 
 def _sound(part: str) -> bool:
-    """Whether a cut before and after the part is at one of those places."""
-    return not part[-1].isspace() and (part[0] != " " or (len(part) > 1 and not part[1].isspace()))
+    """Whether the part begins where a text may be cut, if it begins with a space."""
+    return part[0] != " " or (len(part) > 1 and not part[1].isspace())
 
 
 class UnitEncoder:
@@ -27,33 +29,42 @@ class UnitEncoder:
 
     def __init__(self, encode_parts: Callable[[list[str]], list[bytes]]) -> None:
         self.encode_parts = encode_parts
+        #: Sound parts only, so that a text all of whose parts are here is rightly cut.
         self.known: dict[str, bytes] = {}
 
-    def _cut(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if "\0" not in text:
-            parts = text.replace(" ", "\0 ").split("\0")
-            if not parts[0]:
-                del parts[0]
-            known = self.known
-            if all(part in known or (part and _sound(part)) for part in parts):
-                return parts
-        return _CUT.split(text)
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(text) for text in texts]
-        new = set().union(*cut).difference(self.known)
-        if len(self.known) + len(new) > KEPT_PARTS:
+        if len(self.known) > KEPT_PARTS:
             self.known = {}
-            new = set().union(*cut)
+        known, new, odd = self.known, set(), {}
+        for k, text in enumerate(texts):
+            parts = _cut_at_spaces(text)
+            fresh = set(parts).difference(known)
+            if "\0" in text or not all(map(_sound, fresh)):
+                odd[k] = parts = [p for p in _CUT.split(text) if p]
+                # White space at the start of a text is a part of this text alone.
+                fresh = {p for p in parts if _sound(p)}.difference(known)
+            new |= fresh
         wanted = list(new)
-        self.known.update(zip(wanted, self.encode_parts(wanted), strict=True))
-        known = self.known
-        return [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        known.update(zip(wanted, self.encode_parts(wanted), strict=True))
+        heads = list({p for parts in odd.values() for p in parts[:1] if not _sound(p)})
+        own = dict(zip(heads, self.encode_parts(heads), strict=True))
+        return [
+            b"".join(own.get(p) or known[p] for p in odd[k])
+            if k in odd
+            else b"".join(map(known.__getitem__, _cut_at_spaces(text)))
+            for k, text in enumerate(texts)
+        ]
+
+
+def _cut_at_spaces(text: str) -> list[str]:
+    """The text cut before every space: rightly so if all parts are sound."""
+    parts = text.replace(" ", "\0 ").split("\0")
+    if not parts[0]:
+        del parts[0]
+    return parts
 
 
-def batches_of(texts: list[str], chars: int = 4_000_000) -> list[tuple[int, int]]:
+def blocks_of(texts: list[str], chars: int = BLOCK_CHARS) -> list[tuple[int, int]]:
     """Ranges of texts of about so many characters together."""
     out, start, size = [], 0, 0
     for k, text in enumerate(texts):
