@@ -209,7 +209,11 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, l
 def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality"
 ) -> QualityModel:
-    """A model of ``label`` (1: good), fitted and calibrated on a bounded sample."""
+    """A model of ``label`` (1: good), fitted and calibrated on a bounded sample.
+
+    The sample has as many rows of each label; the probability is made that of rows as
+    frequent as all labelled rows are.
+    """
     rows = features(labelled_texts(docs, labels, doc_id, text, label)).collect()
     rows.sort(key=lambda r: (zlib.crc32(r.slots), bytes(r.slots)))
     y = np.array([r.label for r in rows], np.float64)
@@ -225,6 +229,10 @@ def train(
     weights, _ = fit_sparse(place[at[use]], slots[use], values[use], y[fitted], 2 * SLOTS)
     z = np.bincount(at, values * weights[slots], len(rows))
     slope, bias = fit_dense(z[~fitted][:, None], y[~fitted])
+    named = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).distinct()
+    counts = {r.label: r["count"] for r in named.groupBy("label").count().collect()}
+    sampled = y[~fitted].sum() / (1 - y[~fitted]).sum()
+    bias += np.log(counts[1] / counts[0]) - np.log(sampled)
     return QualityModel(weights.astype(np.float32), float(slope), float(bias))
 
 
