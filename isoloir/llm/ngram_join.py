@@ -17,8 +17,10 @@ similar sets may be of two such powers, a set has signatures for both.
 Equal sets are one node from the start. Nodes that share a signature are compared in three
 rounds: each with the node it shares most signatures with of those that lead a list; then
 the nodes of a list that are still in other classes with the list's leader; then every pair
-of a list that is still in different classes. After the last no link is missing, and in
-groups of near copies the first round leaves next to nothing for it.
+of a list that is still in different classes. Only pairs are compared whose sizes, and the
+numbers of shingles they can have in common at all, allow a link. After the last round no
+link is missing. A list is led by the set that has least to itself, as the origin of a group
+of near copies has, so that the first two rounds leave next to nothing for the last.
 
 Shingles are told apart by hashes of 64 bits; which ones are rare is counted over all
 documents on shorter hashes, since the order of shingles decides only how much work there is.
@@ -35,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isoloir.llm.blocks import (
@@ -56,22 +58,32 @@ SHINGLE = 5
 PERCENT = 75
 #: Shingles of so many sets or more are frequent.
 FREQUENT = 64
+#: Hashes of words that a task keeps, at most.
+KEPT_WORDS = 300_000
 #: Of so many shingles one group of frequent ones is made.
 GROUP_OF = 8
 
 SETS = "doc_id {key}, n_shingles long, node long, text_bytes long"
-SIGNED = "node long, size int, text binary, signatures array<long>"
+SIGNED = (
+    "node long, size int, shared int, often int, text binary,"
+    " singles array<long>, pairs array<long>"
+)
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, known: dict[bytes, int] | None = None) -> np.ndarray:
     """The different hashed shingles of a text, ascending; A-Z count as a-z.
 
-    Fewer words than a shingle's are one shingle; no words, none.
+    Fewer words than a shingle's are one shingle; no words, none. ``known`` keeps hashes of
+    words for further texts.
     """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    known = {word: xxhash.xxh3_64_intdigest(word) for word in set(words)}
+    known = {} if known is None else known
+    if len(known) > KEPT_WORDS:
+        known.clear()
+    for word in set(words).difference(known):
+        known[word] = xxhash.xxh3_64_intdigest(word)
     hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     length = min(SHINGLE, len(words))
     h = np.full(len(words) - length + 1, length, np.uint64)
@@ -102,22 +114,23 @@ def levels(size: int) -> set[int]:
     return {_level(smallest), _level(size), _level(largest)}
 
 
-def signatures(found: np.ndarray, sets_with: np.ndarray, frequent: int = FREQUENT) -> np.ndarray:
-    """The signatures of a set, given how many sets have each of its shingles."""
-    size = len(found)
-    if size < 2:
-        return np.zeros(0, np.int64)  # only an equal set is similar
+def signatures(
+    found: np.ndarray, sets_with: np.ndarray, frequent: int = FREQUENT
+) -> tuple[np.ndarray, np.ndarray]:
+    """A set's signatures, of rare shingles and of pairs, from how many sets have each shingle."""
+    size, none = len(found), np.zeros(0, np.int64)
+    wanted = allowed_missing(size) + 1
+    # Only an equal set is similar to a single shingle; a set with so many of its own, to none.
+    if size < 2 or (sets_with == 1).sum() >= wanted:
+        return none, none
     order = np.lexsort((found, sets_with))
     found, sets_with = found[order], sets_with[order]
-    wanted = allowed_missing(size) + 1
     rare = int(np.searchsorted(sets_with, frequent, "left"))
     single = found[: min(rare, wanted)]
     # What no other set has is no use as a signature, but it is part of the prefix.
-    out = [single[sets_with[: len(single)] > 1]]
-    if rare < wanted:
-        for level in levels(size):
-            out.append(_pairs(found[rare:], wanted - rare, level))
-    return np.unique(np.concatenate(out)).view(np.int64)
+    single = single[sets_with[: len(single)] > 1]
+    pairs = [_pairs(found[rare:], wanted - rare, level) for level in levels(size) if rare < wanted]
+    return single.view(np.int64), np.unique(np.concatenate(pairs)).view(np.int64) if pairs else none
 
 
 def _pairs(frequent: np.ndarray, wanted: int, level: int) -> np.ndarray:
@@ -143,11 +156,12 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     key = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
         for batch in batches:
             sizes, nodes, lengths = [], [], []
             for text in batch.column(1):
                 text = text.as_py()
-                found = shingles(text)
+                found = shingles(text, known)
                 sizes.append(len(found))
                 nodes.append(node_of(found))
                 lengths.append(len(text or ""))
@@ -174,17 +188,19 @@ def signed_nodes(
     picked = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")).select(key, "text")
     dealt = picked.withColumn("block", block_of(F.col("key"), blocks))
     wanted = nodes.select(key, "node").withColumn("block", block_of(F.col("key"), blocks))
-    cut = np.uint64(64 - bits)
+    cut, names = np.uint64(64 - bits), [f.split()[0] for f in SIGNED.split(", ")]
 
     def sets_of(texts: pd.DataFrame, ids: pd.DataFrame) -> Iterator[tuple[int, str, np.ndarray]]:
         # A document whose id repeats may be here with other texts.
         left, keys = set(zip(ids["key"], ids["node"], strict=True)), set(ids["key"])
+        known: dict[bytes, int] = {}
         for number, said in zip(texts["key"], texts["text"], strict=True):
             if number in keys:
-                found = shingles(said)
-                if (number, node_of(found)) in left:
-                    left.remove((number, node_of(found)))
-                    yield node_of(found), said, found
+                found = shingles(said, known)
+                node = node_of(found)
+                if (number, node) in left:
+                    left.remove((number, node))
+                    yield node, said, found
 
     def state(group: tuple, texts: pd.DataFrame, ids: pd.DataFrame) -> pd.DataFrame:
         found = [f for _, _, f in sets_of(texts, ids)]
@@ -196,16 +212,19 @@ def signed_nodes(
         is_id = right["bucket"] < 0
         own = list(sets_of(texts, right[is_id]))
         if not own:
-            return pd.DataFrame({"node": [], "size": [], "text": [], "signatures": []})
+            return pd.DataFrame(columns=names)
         every = np.concatenate([f for _, _, f in own]) >> cut
         hashes = np.unique(every)
         sums = sums_of(right[~is_id])
         pack, out = zstandard.ZstdCompressor(3), []
         for node, said, found in own:
-            signed = signatures(found, sums[np.searchsorted(hashes, found >> cut)], frequent)
-            if len(signed):
-                out.append((node, len(found), pack.compress(said.encode("utf-8", "surrogatepass")), signed))
-        return pd.DataFrame(out, columns=["node", "size", "text", "signatures"])
+            sets_with = sums[np.searchsorted(hashes, found >> cut)]
+            single, pairs = signatures(found, sets_with, frequent)
+            if len(single) or len(pairs):
+                common = [int((sets_with >= n).sum()) for n in (2, frequent)]
+                packed = pack.compress(said.encode("utf-8", "surrogatepass"))
+                out.append((node, len(found), *common, packed, single, pairs))
+        return pd.DataFrame(out, columns=names)
 
     by_block = dealt.groupBy("block")
     asked = by_block.cogroup(wanted.groupBy("block")).applyInPandas(state, REQUESTS)
@@ -248,48 +267,64 @@ def similar(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").mapInArrow(run, "a long, b long")
 
 
-def _fits(a: str, b: str) -> object:
-    """Whether two sizes allow the similarity at all."""
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT)
+def _fits(a: str, b: str) -> Column:
+    """Whether the sizes of two sets and what they can have in common allow a link."""
+    both = F.least(f"{a}common", f"{b}common")
+    return both * 100 >= (F.col(f"{a}size") + F.col(f"{b}size") - both) * PERCENT
+
+
+def listed_nodes(nodes: DataFrame) -> DataFrame:
+    """A row for each signature of each node.
+
+    ``common`` is the most shingles that the set can have in common with another of the same
+    list, beside those that other lists give. In the list of a rare shingle those are all that
+    more sets than one have. A set with signatures of pairs has all its rare shingles as
+    signatures: if it shares one of them, that list has both sets; if it shares none, they
+    have frequent shingles in common at most.
+    """
+
+    def each(name: str, common: str) -> Column:
+        return F.transform(name, lambda s: F.struct(s.alias("signature"), F.col(common).alias("common")))
+
+    both = F.concat(each("singles", "shared"), each("pairs", "often"))
+    listed = nodes.select("node", "size", F.explode(both).alias("in"))
+    # What a set has to itself, relative to its size: the first of a list lacks least.
+    lack = ((F.col("size") - F.col("in.common")) / F.col("size")).alias("lack")
+    return listed.select("node", "size", "in.*", lack)
 
 
 def classes(nodes: DataFrame) -> DataFrame:
     """``node`` and ``comp`` of every node that is linked to another."""
-    listed = nodes.select("node", "size", F.explode("signatures").alias("signature"))
+    listed = listed_nodes(nodes)
+    lead = F.min(F.struct("lack", "node", "size", "common")).alias("lead")
+    lists = listed.groupBy("signature").agg(F.count("*").alias("n"), lead).where("n > 1").drop("n")
     # Lists of one are no use; those that remain are read three times.
-    lists = listed.groupBy("signature").agg(
-        F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("lead")
-    )
-    lists = lists.where("n > 1").drop("n")
     listed = stored(listed.join(lists, "signature"), "lists")
 
     # 1. Each node with the leader that it shares most signatures with.
-    led = listed.where(F.col("node") != F.col("lead.node")).where(_fits("size", "lead.size"))
-    shared = led.groupBy("node", F.col("lead.node").alias("lead")).agg(F.count("*").alias("n"))
-    best = shared.groupBy("node").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("lead"))
-    first = stored(best.select(F.col("lead").alias("a"), F.col("node").alias("b")), "pairs")
+    led = listed.where(F.col("node") != F.col("lead.node")).where(_fits("", "lead."))
+    shared = led.groupBy("node", "lead.node", "lead.lack").agg(F.count("*").alias("n"))
+    shared = shared.toDF("node", "lead", "lack", "n")
+    best = F.max_by("lead", F.struct("n", -F.col("lack"), -F.col("lead"))).alias("lead")
+    first = stored(_ordered(shared.groupBy("node").agg(best), "lead", "node"), "pairs")
     links = stored(similar(first, nodes), "similar")
     found = components(links)
 
     # 2. Nodes that are in another class than their list's leader, with it.
     labelled = stored(_labelled(listed, found), "labelled")
-    leads = labelled.groupBy("signature").agg(
-        F.min(F.struct("comp", "node", "size")).alias("lead"), F.max("comp").alias("most")
-    )
-    mixed = labelled.drop("lead").join(leads.where("lead.comp <> most").drop("most"), "signature")
-    apart = mixed.where(F.col("comp") != F.col("lead.comp")).where(_fits("size", "lead.size"))
+    apart = labelled.where(F.col("comp") != F.col("lead_comp")).where(_fits("", "lead."))
     second = _ordered(apart, "lead.node", "node").join(first, ["a", "b"], "left_anti")
     second = stored(second, "pairs")
     links = stored(links.unionByName(similar(second, nodes)), "similar")
     found = components(links)
 
     # 3. Every pair of a list that is still apart.
-    labelled = stored(_labelled(listed.drop("lead"), found), "labelled")
-    leads = labelled.groupBy("signature").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
-    mixed = labelled.join(leads.where("least <> most").select("signature"), "signature", "left_semi")
-    other = mixed.select("signature", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "comp")))
-    pairs = mixed.join(other, "signature").where("comp < comp_b").where(_fits("size", "size_b"))
-    third = _ordered(pairs, "node", "node_b")
+    labelled = stored(_labelled(listed, found).drop("lead", "lead_comp", "lack"), "labelled")
+    comps = labelled.groupBy("signature").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+    mixed = labelled.join(comps.where("least <> most").select("signature"), "signature", "left_semi")
+    other = mixed.select("signature", *(F.col(c).alias(f"b_{c}") for c in ("node", "size", "common", "comp")))
+    pairs = mixed.join(other, "signature").where("comp < b_comp").where(_fits("", "b_"))
+    third = _ordered(pairs, "node", "b_node")
     third = third.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
     last = stored(similar(stored(third, "pairs"), nodes), "similar")
     if last.isEmpty():
@@ -302,7 +337,11 @@ def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def _labelled(listed: DataFrame, found: DataFrame) -> DataFrame:
-    return listed.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    """``listed`` with the classes of a row's node and of its leader."""
+    of_lead = found.select(F.col("node").alias("lead_node"), F.col("comp").alias("lead_comp"))
+    own = listed.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    own = own.withColumn("lead_node", F.col("lead.node")).join(of_lead, "lead_node", "left")
+    return own.withColumn("lead_comp", F.coalesce("lead_comp", "lead_node")).drop("lead_node")
 
 
 def similar_documents(
