@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from isoloir.functions.columns import ColumnOrName, col, column
 
-# Longer lists are joined as a table instead of being written into the plan. Only the plan
-# differs: rows, columns and their order are the same.
-INLINE_VALUES = 10_000
+# Longer lists are joined as a table instead of being written into the plan, where each value
+# is a call to the JVM. Only the plan differs: rows, columns and their order are the same.
+INLINE_VALUES = 1_000
 # What is trimmed from chosen values, in lists and in tables: every white-space character.
 BLANKS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
 
