@@ -137,11 +137,15 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         F.lit(True).alias("kept"),
         "text_sha256",
     )
-    # Repeated rows of one document become one row with a count before the join.
+    # Repeated rows of one document become one row with a count before the join. Both sides
+    # of the join are stored, so that each is shuffled for it alone: then Spark can split a
+    # text that very many documents have, which it cannot below an aggregate.
     rows = asked.where("asked").groupBy("text_sha256", "doc_id").agg(F.count("*").alias("copies"))
+    rows = stored(rows, "repeated")
     groups = rows.groupBy("text_sha256").agg(
         F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
     )
+    groups = stored(groups, "groups")
     copy = F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")
     compared = (
         rows.join(groups, "text_sha256")
