@@ -37,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloir.llm.blocks import (
@@ -50,10 +50,12 @@ from isoloir.llm.blocks import (
     requests,
     sums_of,
 )
-from isoloir.llm.common import stored, text_of
+from isoloir.llm.common import free_name, stored, text_of
 from isoloir.llm.components import components
 
 SHINGLE = 5
+#: A word's first byte: what is no ASCII white space.
+WORD = r"[^\x20\x09-\x0D]"
 #: Two sets link when their intersection is this percentage of their union, or more.
 PERCENT = 75
 #: Shingles of so many sets or more are frequent.
@@ -63,7 +65,7 @@ KEPT_WORDS = 300_000
 #: Of so many shingles one group of frequent ones is made.
 GROUP_OF = 8
 
-SETS = "doc_id {key}, n_shingles long, node long, text_bytes long"
+SETS = "doc_id {key}, n_shingles long, node long, text_bytes long, text_hash long"
 SIGNED = (
     "node long, size int, shared int, often int, text binary,"
     " singles array<long>, pairs array<long>"
@@ -151,8 +153,13 @@ def _pairs(frequent: np.ndarray, wanted: int, level: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _text_hash(text: str) -> Column:
+    """With the id, tells rows apart whose texts differ."""
+    return F.xxhash64(F.col(text).cast("string")).alias("text_hash")
+
+
 def shingle_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``node`` and ``text_bytes`` of every row."""
+    """``doc_id``, ``n_shingles``, ``node``, ``text_bytes`` and ``text_hash`` of every row."""
     key = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,10 +172,14 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 sizes.append(len(found))
                 nodes.append(node_of(found))
                 lengths.append(len(text or ""))
-            columns = [batch.column(0), *(pa.array(v, pa.int64()) for v in (sizes, nodes, lengths))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "text_bytes"])
-
-    picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+            counted = [pa.array(v, pa.int64()) for v in (sizes, nodes, lengths)]
+            columns = [batch.column(0), *counted, batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["doc_id", "n_shingles", "node", "text_bytes", "text_hash"]
+    picked = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), _text_hash(text)
+    )
     return picked.mapInArrow(run, SETS.format(key=key))
 
 
@@ -344,6 +355,14 @@ def _labelled(listed: DataFrame, found: DataFrame) -> DataFrame:
     return own.withColumn("lead_comp", F.coalesce("lead_comp", "lead_node")).drop("lead_node")
 
 
+def _sets_and_classes(
+    docs: DataFrame, doc_id: str, text: str, frequent: int = FREQUENT
+) -> tuple[DataFrame, DataFrame]:
+    sets = stored(shingle_sets(docs, doc_id, text), "sets")
+    nodes = stored(signed_nodes(docs, sets, doc_id, text, frequent), "signed")
+    return sets, classes(nodes)
+
+
 def similar_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT
 ) -> DataFrame:
@@ -354,9 +373,7 @@ def similar_documents(
     that repeat an id are documents each; a null id is reachable but never the smallest of
     others. Other columns are ignored; an empty table gives an empty result.
     """
-    sets = stored(shingle_sets(docs, doc_id, text), "sets")
-    nodes = stored(signed_nodes(docs, sets, doc_id, text, frequent), "signed")
-    found = classes(nodes)
+    sets, found = _sets_and_classes(docs, doc_id, text, frequent)
     smallest = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     smallest = smallest.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     # Nodes, not documents: a group of copies is one row here.
@@ -367,7 +384,33 @@ def similar_documents(
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each class, the smallest id; columns unchanged."""
-    found = similar_documents(docs, doc_id, text)
-    kept = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct()
-    return docs.join(kept.select(F.col("doc_id").alias(doc_id)), doc_id, "left_semi").select(*docs.columns)
+    """``docs`` with one row of each class, the smallest id; columns unchanged.
+
+    A null id comes after all others; of rows that tie, any one stays. Rows that repeat an id
+    are documents each. Rows without shingles are in no class and all stay.
+    """
+    sets, found = _sets_and_classes(docs, doc_id, text, FREQUENT)
+    rows = sets.where("node is not null").groupBy("node", "doc_id", "text_hash")
+    rows = rows.agg(F.count("*").alias("copies"))
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "copies")
+    of_node = rows.groupBy("node").agg(F.min(key).alias("first"))
+    of_node = of_node.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    kept = of_node.groupBy("comp").agg(F.min("first").alias("first"))
+    kept = stored(kept.select("first.*"), "kept")
+
+    said, own, kept_id, kept_hash, copies, place = (
+        free_name(docs, c) for c in ("has_words", "text_hash", "kept_id", "kept_hash", "copies", "place")
+    )
+    some = F.coalesce(F.col(text).cast("string").rlike(WORD), F.lit(False))
+    tagged = docs.withColumn(said, some).withColumn(own, _text_hash(text))
+    kept = kept.select(
+        F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash), F.col("copies").alias(copies)
+    )
+    same = F.col(doc_id).eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_hash))
+    firsts = tagged.where(F.col(said)).join(kept, same)
+    # Of rows whose id and text repeat, too, one stays.
+    first = Window.partitionBy(doc_id, own).orderBy(F.lit(0))
+    tied = firsts.where(F.col(copies) > 1).withColumn(place, F.row_number().over(first))
+    parts = [tagged.where(~F.col(said)), firsts.where(F.col(copies) == 1), tied.where(F.col(place) == 1)]
+    none, once, one = (p.select(*docs.columns) for p in parts)
+    return none.unionByName(once).unionByName(one)

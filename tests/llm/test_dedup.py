@@ -126,6 +126,54 @@ def test_one_of_each_class_stays(odd):
     assert 1 in ids and 2 not in ids and 3 not in ids and 8 not in ids and 4 in ids and 5 in ids
 
 
+#: A unique text and two that are linked without an id; ids that repeat with texts of two classes.
+LOOSE_TEXTS = [
+    (None, sentence(70, 30)),
+    (None, sentence(71, 60)),
+    (None, sentence(71, 59) + " other"),
+    (2, sentence(72, 30)),
+    (30, sentence(73, 39) + " other"),
+    (30, sentence(74, 30)),
+    (29, sentence(73, 40)),
+    (31, sentence(75, 30)),
+    (31, sentence(75, 30)),
+    (None, " "),
+    (5, ""),
+]
+
+
+def one_row_each(rows):
+    """Ids and shingles of one row of each class, the smallest id and null last, and of all without shingles."""
+    sets, out = sets_of(rows), Counter()
+    left = [s for s in sets if s[1]]
+    out.update(s for s in sets if not s[1])
+    while left:
+        linked, grown = [left.pop()], True
+        while grown:
+            near = [
+                k for k, (_, s) in enumerate(left) if any(100 * len(s & t) >= 75 * len(s | t) for _, t in linked)
+            ]
+            linked += [left[k] for k in near]
+            left, grown = [s for k, s in enumerate(left) if k not in near], bool(near)
+        least = min(linked, key=lambda s: (s[0] is None, s[0] or 0))
+        # Which row stays of those that tie is not said.
+        out[least if sum(s[0] == least[0] for s in linked) == 1 else (least[0], "tied")] += 1
+    return out
+
+
+def kept_rows(kept, rows):
+    """What ``one_row_each`` gives, of the rows that were kept."""
+    tied = {s[0] for s in one_row_each(rows) if s[1] == "tied"}
+    sets = sets_of([(r.doc_id, r.text) for r in kept])
+    return Counter((i, "tied") if i in tied and (i, s) not in one_row_each(rows) else (i, s) for i, s in sets)
+
+
+def test_one_row_of_each_class_stays_whatever_the_ids(spark):
+    rows = ODD_TEXTS + LOOSE_TEXTS
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert kept_rows(ngram_join.keep_one(docs).collect(), rows) == one_row_each(rows)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.data())
 def test_linked_sets_share_a_signature(data):

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_DIR
 
-from .conftest import BLANKS
-from .test_dedup import near_classes
+from .conftest import BLANKS, ODD_TEXTS, sentence
+from .test_dedup import LOOSE_TEXTS, kept_rows, near_classes, one_row_each
 from .test_tokens import check_packing
 
 SMALL = "/root/testdata/sf0.001"
@@ -103,6 +103,16 @@ def test_documents_of_odd_kinds_pass_every_stage(spark, odd, none):
         corpus_pipeline.STAGES[-1][1](spark, frame, SMALL).count()
 
 
+def test_rows_with_loose_ids_pass_both_dedups_like_brute_force(spark):
+    docs = spark.createDataFrame(ODD_TEXTS + LOOSE_TEXTS, "doc_id long, text string").repartition(3)
+    once = corpus_pipeline.drop_copies(spark, docs, SMALL).cache()
+    rows = [tuple(r) for r in once.collect()]
+    assert (None, sentence(70, 30)) in rows and {(30, LOOSE_TEXTS[4][1]), (30, LOOSE_TEXTS[5][1])} < set(rows)
+    apart = corpus_pipeline.drop_near_copies(spark, once, SMALL)
+    assert apart.columns == docs.columns
+    assert kept_rows(apart.collect(), rows) == one_row_each(rows)
+
+
 def test_the_rest_works_without_this_part(tmp_path):
     root = Path(corpus_pipeline.__file__).parent
     code = (
