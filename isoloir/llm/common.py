@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +51,34 @@ def rows_of(batch: pa.RecordBatch, slice_rows: int = 256) -> Iterator[dict]:
     """The rows of a batch, few at a time as Python objects."""
     for start in range(0, batch.num_rows, slice_rows):
         yield from batch.slice(start, slice_rows).to_pylist()
+
+
+def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column's texts, end to end, and the places where texts begin and end.
+
+    A null is no bytes. Nothing is decoded, and nothing is copied but the places.
+    """
+    wide = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    if column.null_count:
+        column = column.fill_null("")
+    _, places, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    ends = np.frombuffer(places, wide)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def string_array(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The column of texts that ``string_bytes`` would take apart."""
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.string(), len(ends) - 1, buffers)
+
+
+def byte_ranges(ends: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes together; one that is longer is by itself."""
+    start, rows = 0, len(ends) - 1
+    while start < rows:
+        stop = int(np.searchsorted(ends, ends[start] + size, "right")) - 1
+        stop = min(max(stop, start + 1), rows)
+        yield start, stop
+        start = stop

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from isoloir.llm import (
     bpe,
     chat,
+    conversation_repair,
     exact_dedup,
+    fill_in_middle,
     lm_scoring,
     ngram_join,
     packing,
     quality,
+    sharding,
     toxicity,
     url_filter,
     warc,
@@ -108,6 +111,27 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, model).drop("url")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, read back from the shard that it was written to."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = sharding.write_shards(docs)
+    return sharding.shard_table(sharding.read_shards(spark, path, docs.schema))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its parts in another order, and put right again."""
+    docs = read_table(spark, sf_dir, "documents")
+    cut = fill_in_middle.transform_documents(docs, restored=True)
+    hashes = {f"{c}_sha256": F.sha2(c, 256) for c in ("output", "restored")}
+    return cut.withColumns(hashes).drop("output", "restored")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage, with its cheapest repair."""
+    turns = read_table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_conversations(conversation_repair.damage(turns), turns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -121,6 +145,9 @@ QUERIES = {
         op8_ngram_jaccard,
         op9_packing,
         op10_url_filter,
+        op11_sharding,
+        op12_fill_in_middle,
+        op13_repair,
     )
 }
 
@@ -184,4 +211,137 @@ ORACLE = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM hashed JOIN groups USING (text_sha256)""",
+    "op12_fill_in_middle": r"""
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ), drawn AS (
+            SELECT doc_id, text, length(text) AS n,
+                   CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1,
+                   CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+                   CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3,
+                   CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+            FROM hashed
+        ), cut AS (
+            SELECT doc_id, text, n,
+                   CASE WHEN n = 0 OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 90 THEN 'plain'
+                        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+                   least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS m
+            FROM drawn
+        ), parts AS (
+            SELECT *, substring(text, 1, p) AS prefix, substring(text, p + 1, m - p) AS middle,
+                   substring(text, m + 1) AS suffix
+            FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN m - p END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                   WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts""",
+    "op13_repair": r"""
+        WITH RECURSIVE told AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+                       || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+            FROM conversations
+        ), hashed AS (
+            -- CRC-32, bit by bit.
+            SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda crc, b:
+                list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, k:
+                    xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS kind
+            FROM told
+        ), damaged AS (
+            SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                       ELSE text END AS text,
+                   unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM hashed
+        ), placed AS (
+            SELECT conv_id, turn, role, text,
+                   row_number() OVER (PARTITION BY conv_id
+                       ORDER BY turn NULLS FIRST, role, sha256(text)) AS i
+            FROM damaged
+        ), marked AS (
+            SELECT *, substring(role, 1, 1) AS initial,
+                   regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS last_char,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                   lag(substring(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM placed
+        ), faulty AS (
+            SELECT *, CASE WHEN last_char = '' THEN 'blank' WHEN again THEN 'duplicate'
+                WHEN last_char NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM marked
+        ), inserts(q, upto, cost, letters) AS (
+            VALUES (0, 0, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 1, 0, ''), (1, 2, 2, 'I'),
+                   (1, 3, 4, 'II'), (2, 2, 0, ''), (2, 3, 2, 'I'), (3, 3, 0, ''), (3, 2, 2, 'I')
+        ), edits(q, role, q2, cost, letter) AS (
+            VALUES (0, 's', 1, 0, 'K'), (0, 'u', 2, 0, 'K'), (1, 'u', 2, 0, 'K'), (3, 'u', 2, 0, 'K'),
+                   (2, 'a', 3, 0, 'K'), (0, '', 2, 2, 'R'), (1, '', 2, 2, 'R'), (2, '', 3, 2, 'R'),
+                   (3, '', 2, 2, 'R'), (0, '', 0, 3, 'D'), (1, '', 1, 3, 'D'), (2, '', 2, 3, 'D'),
+                   (3, '', 3, 3, 'D')
+        ), moves AS (
+            SELECT i.q, e.role, e.q2, i.cost + e.cost AS cost, i.letters || e.letter AS letters,
+                   e.letter
+            FROM inserts i JOIN edits e ON e.q = i.upto
+        ), every AS (SELECT DISTINCT conv_id FROM conversations),
+        steps AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, 0 AS cost, '' AS audit FROM every
+            UNION ALL
+            SELECT conv_id, i, q, best.cost, best.audit FROM (
+                SELECT s.conv_id, s.i + 1 AS i, m.q2 AS q,
+                       min({'cost': s.cost + m.cost
+                               + CASE WHEN f.fault = 'truncated' AND m.letter <> 'D' THEN 1 ELSE 0 END,
+                           'audit': s.audit || m.letters}) AS best
+                FROM steps s
+                JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i + 1
+                JOIN moves m ON m.q = s.q AND (m.letter <> 'K' OR m.role = f.initial)
+                    AND (m.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+                GROUP BY ALL
+            )
+        ), described AS (
+            SELECT e.conv_id, count(f.i) AS n,
+                   coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM every e LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
+            GROUP BY 1
+        ), ended AS (
+            SELECT d.conv_id, min({'cost': s.cost + x.cost, 'audit': s.audit || x.letters}) AS best
+            FROM described d
+            JOIN steps s ON s.conv_id IS NOT DISTINCT FROM d.conv_id AND s.i = d.n
+            JOIN inserts x ON x.q = s.q AND x.upto IN (0, 3)
+            GROUP BY 1
+        ), letters AS (
+            SELECT conv_id, k, letter,
+                   count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS place
+            FROM (SELECT conv_id, unnest(range(1, length(best.audit) + 1)) AS k,
+                         unnest(string_split(best.audit, '')) AS letter
+                  FROM ended WHERE best.audit <> '')
+            WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+        ), left_over AS (
+            SELECT l.conv_id, k, letter, CASE letter WHEN 'I' THEN '' ELSE text END AS text, place, role,
+                   letter = 'K' AND place = 1 AND initial = 's' AS opens
+            FROM letters l LEFT JOIN faulty f
+                ON letter <> 'I' AND f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i
+            WHERE letter <> 'D'
+        ), spoken AS (
+            SELECT conv_id, k, text,
+                   CASE WHEN letter = 'K' THEN role
+                        WHEN (place + CASE WHEN bool_or(opens) OVER (PARTITION BY conv_id) THEN 1 ELSE 0 END) % 2 = 1
+                        THEN 'user' ELSE 'assistant' END AS role
+            FROM left_over
+        ), joined AS (
+            SELECT conv_id, string_agg(role || ':' || text, chr(10) ORDER BY k) AS said
+            FROM spoken GROUP BY 1
+        )
+        SELECT d.conv_id, gaps, blank, duplicate, truncated, illegal,
+               CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+               sha256(coalesce(said, '')) AS repaired_sha256
+        FROM described d JOIN ended e ON e.conv_id IS NOT DISTINCT FROM d.conv_id
+        LEFT JOIN joined j ON j.conv_id IS NOT DISTINCT FROM d.conv_id""",
 }
