@@ -27,8 +27,10 @@ def components(links: DataFrame) -> DataFrame:
         hooked = labels.join(least, "node").select(
             "node", "comp", F.least("comp", "near").alias("next")
         )
-        # What a node's label is now told by any of its nodes holds for the label too.
-        told = hooked.groupBy("comp").agg(F.min("next").alias("told"))
+        # What a node's label is now told by any of its nodes holds for the label too. Both
+        # sides of the join are stored, so that Spark can split a label of very many nodes.
+        hooked = stored(hooked, "hooked")
+        told = stored(hooked.groupBy("comp").agg(F.min("next").alias("told")), "told")
         moved = hooked.join(told, "comp").select("node", "comp", F.least("next", "told").alias("next"))
         jumped = moved.select("node", F.col("next").alias("at"), F.col("comp").alias("old")).join(
             moved.select(F.col("node").alias("at"), F.col("next").alias("further")), "at"

@@ -33,9 +33,8 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,18 +49,16 @@ from isoloir.llm.blocks import (
     requests,
     sums_of,
 )
-from isoloir.llm.common import free_name, stored, text_of
+from isoloir.llm.common import free_name, stored, string_bytes, text_of
 from isoloir.llm.components import components
+from isoloir.llm.shingling import shingle_sets_of, shingles
 
-SHINGLE = 5
 #: A word's first byte: what is no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]"
 #: Two sets link when their intersection is this percentage of their union, or more.
 PERCENT = 75
 #: Shingles of so many sets or more are frequent.
 FREQUENT = 64
-#: Hashes of words that a task keeps, at most.
-KEPT_WORDS = 300_000
 #: Of so many shingles one group of frequent ones is made.
 GROUP_OF = 8
 
@@ -72,28 +69,6 @@ SIGNED = (
 )
 
 
-def shingles(text: str | None, known: dict[bytes, int] | None = None) -> np.ndarray:
-    """The different hashed shingles of a text, ascending; A-Z count as a-z.
-
-    Fewer words than a shingle's are one shingle; no words, none. ``known`` keeps hashes of
-    words for further texts.
-    """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    known = {} if known is None else known
-    if len(known) > KEPT_WORDS:
-        known.clear()
-    for word in set(words).difference(known):
-        known[word] = xxhash.xxh3_64_intdigest(word)
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    length = min(SHINGLE, len(words))
-    h = np.full(len(words) - length + 1, length, np.uint64)
-    for k in range(length):
-        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + len(h)])
-    return np.unique(h)
-
-
 def node_of(found: np.ndarray) -> int | None:
     """The same number for equal sets; null for the empty one."""
     if not len(found):
@@ -145,12 +120,13 @@ def _pairs(frequent: np.ndarray, wanted: int, level: int) -> np.ndarray:
     prefix, group = frequent[:end], group[:end]
     order = np.lexsort((prefix, group))
     prefix, group = prefix[order], group[order]
-    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    out = []
-    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(group)], strict=True):
-        i, j = np.triu_indices(b - a, 1)
-        out.append(mix(prefix[a + i] * np.uint64(0x9E3779B97F4A7C15) + prefix[a + j] + np.uint64(level)))
-    return np.concatenate(out)
+    out, apart = [], 1
+    # Members of a group stand together: all pairs one place apart, then two ...
+    while (same := np.flatnonzero(group[apart:] == group[:-apart])).size:
+        left, right = prefix[same], prefix[same + apart]
+        out.append(mix(left * np.uint64(0x9E3779B97F4A7C15) + right + np.uint64(level)))
+        apart += 1
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def _text_hash(text: str) -> Column:
@@ -163,17 +139,11 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     key = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for batch in batches:
-            sizes, nodes, lengths = [], [], []
-            for text in batch.column(1):
-                text = text.as_py()
-                found = shingles(text, known)
-                sizes.append(len(found))
-                nodes.append(node_of(found))
-                lengths.append(len(text or ""))
-            counted = [pa.array(v, pa.int64()) for v in (sizes, nodes, lengths)]
-            columns = [batch.column(0), *counted, batch.column(2)]
+            data, ends = string_bytes(batch.column(1))
+            found = [(len(f), node_of(f)) for f in shingle_sets_of(data, ends)]
+            counted = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+            columns = [batch.column(0), *counted, pa.array(np.diff(ends)), batch.column(2)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["doc_id", "n_shingles", "node", "text_bytes", "text_hash"]
@@ -187,63 +157,70 @@ def signed_nodes(
     docs: DataFrame, sets: DataFrame, doc_id: str, text: str, frequent: int = FREQUENT
 ) -> DataFrame:
     """Size, text and signatures of every node that may be linked, from one of its documents."""
+    key = F.xxhash64("doc_id", "text_hash")
     nodes = sets.where("node is not null and n_shingles > 1")
-    nodes = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("text_bytes").alias("bytes"))
-    nodes = stored(nodes, "nodes")
+    nodes = nodes.groupBy("node").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("of"), F.max("text_bytes").alias("bytes")
+    )
+    nodes = stored(nodes.select("node", "of.*", "bytes"), "nodes")
     text_bytes = nodes.agg(F.sum("bytes")).first()[0] or 0
-    blocks, buckets = block_count(text_bytes), max(1, text_bytes // 6 // BUCKET_GRAMS)
+    # All documents are dealt out, copies too, so they all count for the number of blocks.
+    blocks = block_count(sets.agg(F.sum("text_bytes")).first()[0] or 0)
+    buckets = max(1, text_bytes // 6 // BUCKET_GRAMS)
     # Short hashes, as long as chance makes few of them equal.
     bits = min(64, (text_bytes // 6 + 1).bit_length() + 12)
-    # No nulls and no other types than these: pandas would turn numbers into floats.
-    key = F.xxhash64("doc_id").alias("key")
-    picked = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")).select(key, "text")
-    dealt = picked.withColumn("block", block_of(F.col("key"), blocks))
-    wanted = nodes.select(key, "node").withColumn("block", block_of(F.col("key"), blocks))
-    cut, names = np.uint64(64 - bits), [f.split()[0] for f in SIGNED.split(", ")]
-
-    def sets_of(texts: pd.DataFrame, ids: pd.DataFrame) -> Iterator[tuple[int, str, np.ndarray]]:
-        # A document whose id repeats may be here with other texts.
-        left, keys = set(zip(ids["key"], ids["node"], strict=True)), set(ids["key"])
-        known: dict[bytes, int] = {}
-        for number, said in zip(texts["key"], texts["text"], strict=True):
-            if number in keys:
-                found = shingles(said, known)
-                node = node_of(found)
-                if (number, node) in left:
-                    left.remove((number, node))
-                    yield node, said, found
-
-    def state(group: tuple, texts: pd.DataFrame, ids: pd.DataFrame) -> pd.DataFrame:
+    picked = docs.select(F.col(doc_id).alias("doc_id"), _text_hash(text), text_of(text).alias("text"))
+    dealt = picked.select(key.alias("key"), "text").withColumn("block", block_of(F.col("key"), blocks))
+    wanted = nodes.select(key.alias("key"), "node").withColumn("block", block_of(F.col("key"), blocks))
+    cut = np.uint64(64 - bits)
+
+    def sets_of(texts: pa.Table, ids: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray]]:
+        # A row that repeats id and text is here again, and nodes may share an id.
+        left = set(zip(ids["key"].to_pylist(), ids["node"].to_pylist(), strict=True))
+        keys = texts["key"].to_numpy()
+        at = np.flatnonzero(np.isin(keys, ids["key"].to_numpy()))
+        at = at[np.sort(np.unique(keys[at], return_index=True)[1])]
+        data, ends = string_bytes(texts["text"].take(pa.array(at)).combine_chunks())
+        for k, (number, found) in enumerate(zip(keys[at].tolist(), shingle_sets_of(data, ends), strict=True)):
+            node = node_of(found)
+            if (number, node) in left:
+                yield node, data[ends[k] : ends[k + 1]].tobytes(), found
+
+    def state(group: tuple, texts: pa.Table, ids: pa.Table) -> pa.Table:
         found = [f for _, _, f in sets_of(texts, ids)]
         every = np.concatenate(found) >> cut if found else np.zeros(0, np.uint64)
         hashes, counts = np.unique(every, return_counts=True)
-        return requests(group[0], hashes, counts.astype(np.uint64), bits, buckets)
-
-    def sign(group: tuple, texts: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        is_id = right["bucket"] < 0
-        own = list(sets_of(texts, right[is_id]))
-        if not own:
-            return pd.DataFrame(columns=names)
-        every = np.concatenate([f for _, _, f in own]) >> cut
-        hashes = np.unique(every)
-        sums = sums_of(right[~is_id])
-        pack, out = zstandard.ZstdCompressor(3), []
-        for node, said, found in own:
-            sets_with = sums[np.searchsorted(hashes, found >> cut)]
-            single, pairs = signatures(found, sets_with, frequent)
-            if len(single) or len(pairs):
-                common = [int((sets_with >= n).sum()) for n in (2, frequent)]
-                packed = pack.compress(said.encode("utf-8", "surrogatepass"))
-                out.append((node, len(found), *common, packed, single, pairs))
-        return pd.DataFrame(out, columns=names)
-
+        asked = requests(group[0].as_py(), hashes, counts.astype(np.uint64), bits, buckets)
+        return pa.Table.from_pandas(asked, asked_schema, preserve_index=False)
+
+    def sign(group: tuple, texts: pa.Table, right: pa.Table) -> pa.Table:
+        is_id = pa.compute.less(right["bucket"], 0)
+        own = list(sets_of(texts, right.filter(is_id)))
+        out: list[tuple] = []
+        if own:
+            hashes = np.unique(np.concatenate([f for _, _, f in own]) >> cut)
+            sums = sums_of(right.filter(pa.compute.invert(is_id)).to_pandas())
+            pack = zstandard.ZstdCompressor(3)
+            for node, said, found in own:
+                sets_with = sums[np.searchsorted(hashes, found >> cut)]
+                single, pairs = signatures(found, sets_with, frequent)
+                if len(single) or len(pairs):
+                    common = [int((sets_with >= n).sum()) for n in (2, frequent)]
+                    out.append((node, len(found), *common, pack.compress(said), single, pairs))
+        columns = zip(*out, strict=True) if out else [[] for _ in signed_schema]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, signed_schema, strict=True)], signed_schema)
+
+    asked_schema = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+    lists = pa.list_(pa.int64())
+    kinds = (pa.int64(), *[pa.int32()] * 3, pa.binary(), lists, lists)
+    signed_schema = pa.schema(list(zip([f.split()[0] for f in SIGNED.split(", ")], kinds, strict=True)))
     by_block = dealt.groupBy("block")
-    asked = by_block.cogroup(wanted.groupBy("block")).applyInPandas(state, REQUESTS)
+    asked = by_block.cogroup(wanted.groupBy("block")).applyInArrow(state, REQUESTS)
     told = answers(asked)
     zero = F.lit(0).cast("long")
     ids = wanted.select("block", (zero - 1).alias("bucket"), F.lit(b"").alias("sums"), "key", "node")
     right = ids.unionByName(told.withColumns({"key": zero, "node": zero}))
-    return by_block.cogroup(right.groupBy("block")).applyInPandas(sign, SIGNED)
+    return by_block.cogroup(right.groupBy("block")).applyInArrow(sign, SIGNED)
 
 
 def similar(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -255,7 +232,7 @@ def similar(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
         def set_of(node: int, text: pa.Scalar) -> np.ndarray:
             if node not in known:
-                known[node] = shingles(unpack.decompress(text.as_py()).decode("utf-8", "surrogatepass"))
+                known[node] = shingles(unpack.decompress(text.as_py()))
                 if len(known) > 64:
                     known.popitem(last=False)
             return known[node]
@@ -309,8 +286,9 @@ def classes(nodes: DataFrame) -> DataFrame:
     listed = listed_nodes(nodes)
     lead = F.min(F.struct("lack", "node", "size", "common")).alias("lead")
     lists = listed.groupBy("signature").agg(F.count("*").alias("n"), lead).where("n > 1").drop("n")
-    # Lists of one are no use; those that remain are read three times.
-    listed = stored(listed.join(lists, "signature"), "lists")
+    # Lists of one are no use; those that remain are read three times. Their leaders are stored,
+    # so that Spark can split a list that very many nodes are in.
+    listed = stored(listed.join(stored(lists, "leaders"), "signature"), "lists")
 
     # 1. Each node with the leader that it shares most signatures with.
     led = listed.where(F.col("node") != F.col("lead.node")).where(_fits("", "lead."))
@@ -332,7 +310,8 @@ def classes(nodes: DataFrame) -> DataFrame:
     # 3. Every pair of a list that is still apart.
     labelled = stored(_labelled(listed, found).drop("lead", "lead_comp", "lack"), "labelled")
     comps = labelled.groupBy("signature").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
-    mixed = labelled.join(comps.where("least <> most").select("signature"), "signature", "left_semi")
+    mixed = stored(comps.where("least <> most").select("signature"), "mixed")
+    mixed = labelled.join(mixed, "signature", "left_semi")
     other = mixed.select("signature", *(F.col(c).alias(f"b_{c}") for c in ("node", "size", "common", "comp")))
     pairs = mixed.join(other, "signature").where("comp < b_comp").where(_fits("", "b_"))
     third = _ordered(pairs, "node", "b_node")
@@ -376,9 +355,11 @@ def similar_documents(
     sets, found = _sets_and_classes(docs, doc_id, text, frequent)
     smallest = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     smallest = smallest.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    # Nodes, not documents: a group of copies is one row here.
-    of_class = smallest.groupBy("comp").agg(F.min("least").alias("component_id"))
-    of_node = smallest.join(of_class, "comp").select("node", "component_id")
+    # Nodes, not documents: a group of copies is one row here. Both sides of each join are
+    # stored, so that Spark can split a class of very many nodes and a node of very many copies.
+    smallest = stored(smallest, "smallest")
+    of_class = stored(smallest.groupBy("comp").agg(F.min("least").alias("component_id")), "least")
+    of_node = stored(smallest.join(of_class, "comp").select("node", "component_id"), "found")
     joined = sets.join(of_node, "node", "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

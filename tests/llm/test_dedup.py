@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from isoloir.llm import components, exact_dedup, ngram_join
+from isoloir.llm import blocks, components, exact_dedup, ngram_join, shingling
 from isoloir.llm.blocks import pack, pack_sorted, unpack, unpack_sorted
 from pyspark.sql import functions as F
 
@@ -209,3 +209,42 @@ def test_packed_numbers_come_back(values):
     assert (unpack(pack(plain)) == plain).all()
     ordered = np.unique(plain)
     assert (unpack_sorted(pack_sorted(ordered)) == ordered).all()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("aAbé \t\n中", max_size=40), max_size=8))
+def test_shingles_of_a_block_are_those_of_its_words(texts):
+    encoded = [t.encode() for t in texts]
+    ends = np.cumsum([0, *map(len, encoded)])
+    found = shingling.shingle_sets_of(np.frombuffer(b"".join(encoded), np.uint8), ends)
+    want = [s for _, s in sets_of(enumerate(texts))]
+    assert [len(f) for f in found] == [len(w) for w in want]
+    # The same shingle has the same hash wherever it stands, and others have others.
+    for a, wa in zip(found, want, strict=True):
+        for b, wb in zip(found, want, strict=True):
+            assert len(np.intersect1d(a, b)) == len(wa & wb)
+
+
+def test_texts_longer_than_a_block_and_blocks_of_many(monkeypatch):
+    texts = [sentence(k, 1 + 7 * k % 60) for k in range(80)] + [sentence(90, 3000), "", "Z" * 5000]
+    encoded = [t.encode() for t in texts]
+    data, ends = np.frombuffer(b"".join(encoded), np.uint8), np.cumsum([0, *map(len, encoded)])
+    whole = shingling.shingle_sets_of(data, ends)
+    monkeypatch.setattr(shingling, "BLOCK_BYTES", 500)
+    parts = shingling.shingle_sets_of(data, ends)
+    assert [f.tolist() for f in whole] == [f.tolist() for f in parts]
+    assert [shingling.shingles(t).tolist() for t in texts] == [f.tolist() for f in parts]
+
+
+def test_copies_of_one_text_are_dealt_to_many_blocks(spark, monkeypatch):
+    """Nineteen of twenty rows are one text; a block gets about as many bytes as any other."""
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 20_000)
+    rows = [(k, sentence(1, 40)) for k in range(1900)] + [(k, sentence(k, 40)) for k in range(2000, 2090)]
+    rows += [(k + 100, sentence(k, 39) + " other") for k in range(2000, 2010)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_documents(docs).collect()}
+    assert all(got[k] == 0 for k in range(1900))
+    assert all(got[k + 100] == k for k in range(2000, 2010))
+    assert len(got) == 2000 and all(got[k] == k for k in range(2000, 2090))
+    many = blocks.block_count(sum(len(t) for _, t in rows))
+    assert many > 10
