@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from isoloir.session import scratch_folder
 
+#: Rows with whole texts that reach a Python worker at a time.
+BATCH_ROWS = 1000
 #: ASCII white space, as a class for Java's and DuckDB's regular expressions.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -29,6 +31,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let Python workers get whole texts ``rows`` at a time, unless the session says how many.
+
+    Ten thousand rows at a time, Spark's default, are some dozen megabytes of text, several
+    times over, in every worker and in the executor beside it.
+    """
+    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, str(rows))
+
+
 def text_of(column: str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -47,6 +60,23 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(key), key).limit(rows)
 
 
+def agreed_labels(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
+    """``doc_id`` and ``label`` (0 or 1), one row for each id that has one label only."""
+    named = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
+    named = named.where("doc_id IS NOT NULL AND label IN (0, 1)")
+    both = named.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most"))
+    return both.where("label = most").drop("most")
+
+
+def one_text_each(docs: DataFrame, named: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``label`` and ``text`` of each id in ``named``: of rows that repeat it, the least hash's."""
+    said = F.col(text).cast("string")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), said.alias("text")).join(named, "doc_id")
+    first = F.min(F.struct(F.xxhash64("text"), F.col("text").alias("text")))
+    # Repeats are met where the rows are: a task sends one text for each id it has.
+    return texts.groupBy("doc_id").agg(F.first("label").alias("label"), first.alias("kept")).select("label", "kept.text")
+
+
 def rows_of(batch: pa.RecordBatch, slice_rows: int = 256) -> Iterator[dict]:
     """The rows of a batch, few at a time as Python objects."""
     for start in range(0, batch.num_rows, slice_rows):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoloir.llm.common import byte_ranges, string_array, string_bytes, text_of
+from isoloir.llm.common import byte_ranges, small_batches, string_array, string_bytes, text_of
 
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 #: Texts of a hundred that stay plain, and of those cut, the ones whose suffix comes first.
@@ -151,6 +151,7 @@ def transform_documents(
     one is plain, as is one that has a sentinel. Rows that repeat an id are cut each, a null
     id counts as an empty one; other columns are ignored; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     layout = TRANSFORMED.format(key=docs.schema[doc_id].dataType.simpleString())
     layout += ", restored string" if restored else ""
     names = [f.strip().split()[0] for f in layout.split(", ")]

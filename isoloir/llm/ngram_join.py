@@ -49,7 +49,7 @@ from isoloir.llm.blocks import (
     requests,
     sums_of,
 )
-from isoloir.llm.common import free_name, stored, string_bytes, text_of
+from isoloir.llm.common import free_name, small_batches, stored, string_bytes, text_of
 from isoloir.llm.components import components
 from isoloir.llm.shingling import shingle_sets_of, shingles
 
@@ -136,6 +136,7 @@ def _text_hash(text: str) -> Column:
 
 def shingle_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``node``, ``text_bytes`` and ``text_hash`` of every row."""
+    small_batches(docs.sparkSession)
     key = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,11 +24,14 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isoloir.llm.common import stored, text_of
+from isoloir.llm.common import small_batches, stored, text_of
 from isoloir.llm.units import UnitEncoder, blocks_of
 
 CAPACITY = 2048
 BUCKETS = 256
+#: Parts that a worker keeps the ids of, and characters of texts encoded together, about.
+KEPT_PARTS = 150_000
+BLOCK_CHARS = 4_000_000
 #: How a byte-level vocabulary splits text before the merges; a fixed value of such files.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -107,7 +110,7 @@ class Vocabulary:
 @lru_cache(maxsize=1)
 def encoder(path: str) -> UnitEncoder:
     """One encoder in each Python worker, for all its tasks."""
-    return UnitEncoder(Vocabulary(path).encode_parts)
+    return UnitEncoder(Vocabulary(path).encode_parts, KEPT_PARTS)
 
 
 def cuts(tokens: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -124,6 +127,7 @@ def cut_documents(
 
     A null text counts as empty; an empty one is a piece of the end id alone.
     """
+    small_batches(docs.sparkSession)
     key = docs.schema[doc_id].dataType.simpleString()
     end = np.array([END_ID], "<u4").tobytes()
 
@@ -131,7 +135,7 @@ def cut_documents(
         encode = encoder(path).encode
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for first, last in blocks_of(texts):
+            for first, last in blocks_of(texts, BLOCK_CHARS):
                 rows, found = [], []
                 for k, encoded in enumerate(encode(texts[first:last]), first):
                     data = encoded + end

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isoloir.llm.common import bounded_sample
+from isoloir.llm.common import agreed_labels, bounded_sample, one_text_each, small_batches
 from isoloir.llm.logistic import fit_dense, fit_sparse, sigmoid
 
 #: Labelled rows of each label that the model is fitted on, at most.
@@ -39,6 +39,9 @@ LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 WINDOW = 5
 
+#: Different words that a task keeps hashes of, about.
+KEPT_WORDS = 100_000
+
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -125,7 +128,7 @@ def repeated_lines(text: str) -> int:
 
 
 class TextReader:
-    """Reads texts as words; a word's hash is computed once per batch of texts."""
+    """Reads texts as words; a word's hash is computed once for many texts."""
 
     def __init__(self) -> None:
         self.ids: dict[bytes, int] = {}
@@ -162,13 +165,15 @@ def measures(model: QualityModel, text: str = "text") -> Column:
     names = [f.split()[0] for f in MEASURES.split(", ")]
 
     @F.pandas_udf(MEASURES)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        out, reader = [], TextReader()
-        for text in texts:
-            if len(reader.ids) > 400_000:
-                reader = TextReader()
-            out.append(measure(text, model, reader))
-        return pd.DataFrame(out, columns=names)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        reader = TextReader()
+        for texts in batches:
+            out = []
+            for text in texts:
+                if len(reader.ids) > KEPT_WORDS:
+                    reader = TextReader()
+                out.append(measure(text, model, reader))
+            yield pd.DataFrame(out, columns=names)
 
     return run(F.col(text).cast("string"))
 
@@ -198,12 +203,10 @@ def features(labelled: DataFrame) -> DataFrame:
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
     """``label`` and ``text`` of at most ``SAMPLE`` labelled documents of each label."""
-    named = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).distinct()
+    named = agreed_labels(labels, doc_id, label)
     picks = [bounded_sample(named.where(F.col("label") == v), "doc_id", SAMPLE) for v in (0, 1)]
-    # Two thousand ids at most: a proven bound.
-    few = F.broadcast(picks[0].unionByName(picks[1]))
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return texts.join(few, "doc_id").select("label", "text")
+    # Two thousand ids at most: a proven bound. One text each, so the rows are bounded too.
+    return one_text_each(docs, F.broadcast(picks[0].unionByName(picks[1])), doc_id, text)
 
 
 def train(
@@ -211,6 +214,10 @@ def train(
 ) -> QualityModel:
     """A model of ``label`` (1: good), fitted and calibrated on a bounded sample.
 
+    A null label or id teaches nothing, nor does an id whose labels contradict each other; of
+    rows of ``docs`` that repeat an id, one is read, the same on every run. A null text counts
+    as empty. Without rows of both labels the model keeps all that the base rules keep.
+
     The sample has as many rows of each label; the probability is made that of rows as
     frequent as all labelled rows are.
     """
@@ -229,8 +236,7 @@ def train(
     weights, _ = fit_sparse(place[at[use]], slots[use], values[use], y[fitted], 2 * SLOTS)
     z = np.bincount(at, values * weights[slots], len(rows))
     slope, bias = fit_dense(z[~fitted][:, None], y[~fitted])
-    named = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).distinct()
-    counts = {r.label: r["count"] for r in named.groupBy("label").count().collect()}
+    counts = {r.label: r["count"] for r in agreed_labels(labels, doc_id, label).groupBy("label").count().collect()}
     sampled = y[~fitted].sum() / (1 - y[~fitted]).sum()
     bias += np.log(counts[1] / counts[0]) - np.log(sampled)
     return QualityModel(weights.astype(np.float32), float(slope), float(bias))
@@ -244,10 +250,16 @@ def measure_documents(
     A null or empty text has no words and fails the base rules. Repeated rows are
     measured each; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     measured = docs.select(F.col(doc_id).alias("doc_id"), measures(model, text).alias("m"))
     return measured.select("doc_id", "m.*")
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the rules and the model keep; columns unchanged."""
+    """The rows of ``docs`` that the rules and the model keep; columns unchanged.
+
+    A null or empty text has too few words and goes. Rows that repeat are judged each; an
+    empty table stays empty; columns of any other name pass through.
+    """
+    small_batches(docs.sparkSession)
     return docs.where(measures(model, text)["kept"])

@@ -3,7 +3,7 @@
 Two states, plain and toxic. Only documents are labelled, so words are labelled from them
 first: a word, or the first letters of words, that toxic documents have in many different
 contexts and clean ones hardly ever, is toxic where a toxic document has it. A chain is a
-sentence (``LONGEST`` words at most); the field sees the word, its first and last letters,
+sentence, however long; the field sees the word, its first and last letters,
 and its neighbours. Forward-backward gives each word's probability of being toxic; the two
 highest of a document give its score, and words from one half on are its toxic spans.
 
@@ -26,18 +26,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isoloir.llm.common import bounded_sample
+from isoloir.llm.common import agreed_labels, bounded_sample, one_text_each, small_batches
 from isoloir.llm.logistic import fit_dense, sigmoid
 
 #: Toxic documents the field is fitted on, at most; clean ones: twice as many.
 SAMPLE = 1500
 SENTENCES = 6000
-#: Words of a chain at most.
-LONGEST = 64
+#: Words of a chain that are stepped through; a longer one is cut into segments whose ends
+#: are told what lies beyond them, so that the cut changes no probability.
+SEGMENT = 64
 #: Slots that features hash to.
 SLOTS = 1 << 17
-#: Words that are scored together.
-BLOCK_WORDS = 400_000
+#: Words that are scored together, and different words that a task keeps.
+BLOCK_WORDS = 200_000
+KEPT_WORDS = 100_000
 #: A document is toxic from this score on, a word from this probability on.
 TOXIC_FROM, SPAN_FROM = 0.7, 0.5
 #: A key is toxic if chance gives its contexts to toxic documents less often than this, and
@@ -68,6 +70,9 @@ class Vocabulary:
     """Feature slots of each different word: its own, and those it gives its neighbours."""
 
     def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
         self.ids: dict[bytes, int] = {}
         self._slots = array("i")
         self._ends = bytearray()
@@ -99,8 +104,6 @@ def chains(ends: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first = np.ones(n, bool)
     first[1:] = ends[:-1] | (docs[1:] != docs[:-1])
     starts = np.flatnonzero(first)
-    at = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
-    starts = np.flatnonzero(at % LONGEST == 0)
     return starts, np.diff(np.append(starts, n))
 
 
@@ -124,39 +127,99 @@ class Field:
         return np.clip(own, -30, 30)
 
 
-def forward_backward(
-    emissions: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves: np.ndarray
+def _segments(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length of the segments of chains, and the number of each within its chain."""
+    parts = -(-lengths // SEGMENT)
+    chain = np.repeat(np.arange(len(lengths)), parts)
+    number = np.arange(len(chain)) - np.repeat(np.cumsum(parts) - parts, parts)
+    return starts[chain] + number * SEGMENT, np.minimum(lengths[chain] - number * SEGMENT, SEGMENT), number
+
+
+def _forward(
+    prior: np.ndarray, potential: np.ndarray, move: np.ndarray, starts: np.ndarray, alive: list[int], out: np.ndarray | None
+) -> np.ndarray:
+    """Messages along segments, the longest first, from ``prior``; returns those at their ends.
+
+    A segment may have several messages, which keep their proportion to each other.
+    """
+    last = prior.copy()
+    for t, k in enumerate(alive):
+        now = last[:k] @ move if t else last[:k].copy()
+        at = starts[:k] + t
+        now[..., 1] *= potential[at][:, None]
+        now /= now.sum((1, 2), keepdims=True)
+        last[:k] = now
+        if out is not None:
+            out[at] = now[:, 0]
+    return last
+
+
+def _beyond(
+    transfer: np.ndarray, number: np.ndarray, move: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's probability of the toxic state, and the expected counts of the moves.
+    """What each segment is told at its first word and at its last, by the others of its chain."""
+    n = len(number)
+    prior, behind = np.ones((n, 2)), np.ones((n, 2))
+    # Messages at the ends; a chain's first segment has the same one in both rows.
+    ended = transfer[:, 0].copy()
+    by_number = np.argsort(number, kind="stable")
+    edges = np.searchsorted(number[by_number], np.arange(1, number.max() + 2))
+    steps = [by_number[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+    for at in steps:
+        prior[at] = ended[at - 1] @ move
+        said = (ended[at - 1][:, None] @ transfer[at])[:, 0]
+        ended[at] = said / said.sum(1, keepdims=True)
+    for at in reversed(steps):
+        said = (transfer[at] @ behind[at][:, :, None])[:, :, 0]
+        behind[at - 1] = said / said.sum(1, keepdims=True)
+    return prior, behind
+
 
-    All chains advance together, the longest first, so that a step is one array operation.
+def forward_backward(
+    emissions: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves: np.ndarray, count: bool = False
+) -> tuple[np.ndarray, np.ndarray | None]:
+    """Each word's probability of the toxic state, and the expected counts of the moves if wanted.
+
+    All segments advance together, so that a step is one array operation. Of chains that have
+    several, the messages between them come from the products of their steps.
     """
     n = len(emissions)
-    toxic, counts = np.zeros(n), np.zeros((2, 2))
-    order = np.argsort(-lengths, kind="stable")
-    starts, lengths = starts[order], lengths[order]
-    longest = int(lengths[0]) if len(lengths) else 0
-    alive = [int(np.searchsorted(-lengths, -t, "left")) for t in range(longest)]
+    if not n:
+        return np.zeros(0), np.zeros((2, 2)) if count else None
     potential, move = np.exp(emissions), np.exp(moves)
-    forward: list[np.ndarray] = []
-    for t in range(longest):
-        at = starts[: alive[t]] + t
-        prior = forward[-1][: alive[t]] @ move if t else np.ones((alive[t], 2))
-        now = prior * np.column_stack([np.ones(alive[t]), potential[at]])
-        forward.append(now / now.sum(1, keepdims=True))
-    backward = np.ones((len(starts), 2))
-    for t in range(longest - 1, -1, -1):
+    begin, size, number = _segments(starts, lengths)
+    order = np.argsort(-size, kind="stable")
+    begin, size = begin[order], size[order]
+    alive = [int(np.searchsorted(-size, -t, "left")) for t in range(int(size[0]))]
+    prior, behind = np.ones((len(begin), 2)), np.ones((len(begin), 2))
+    if number.any():
+        first = (number == 0)[order]
+        basis = np.where(first[:, None, None], np.ones((2, 2)), move)
+        transfer = np.empty((len(begin), 2, 2))
+        transfer[order] = _forward(basis, potential, move, begin, alive, None)
+        told = _beyond(transfer, number, move)
+        prior, behind = told[0][order], told[1][order]
+    ahead, back = np.empty((n, 2)), np.empty((n, 2))
+    _forward(prior[:, None], potential, move, begin, alive, ahead)
+    for t in range(len(alive) - 1, -1, -1):
         k = alive[t]
-        both = forward[t] * backward[:k]
-        both /= both.sum(1, keepdims=True)
-        toxic[starts[:k] + t] = both[:, 1]
-        if t:
-            ahead = backward[:k] * np.column_stack([np.ones(k), potential[starts[:k] + t]])
-            pair = forward[t - 1][:k, :, None] * move * ahead[:, None, :]
-            counts += (pair / pair.sum((1, 2), keepdims=True)).sum(0)
-            ahead = ahead @ move.T
-            backward[:k] = ahead / ahead.sum(1, keepdims=True)
-    return toxic, counts
+        at = begin[:k] + t
+        back[at] = behind[:k]
+        now = behind[:k].copy()
+        now[:, 1] *= potential[at]
+        now = now @ move.T
+        behind[:k] = now / now.sum(1, keepdims=True)
+    both = ahead * back
+    toxic = both[:, 1] / both.sum(1)
+    if not count:
+        return toxic, None
+    follows = np.ones(n, bool)
+    follows[starts] = False
+    at = np.flatnonzero(follows)
+    right = back[at]
+    right[:, 1] *= potential[at]
+    pair = ahead[at - 1][:, :, None] * move * right[:, None, :]
+    return toxic, (pair / pair.sum((1, 2), keepdims=True)).sum(0)
 
 
 def fit_field(sentences: list[tuple[list[bytes], list[int]]], steps: int = 80) -> Field:
@@ -181,7 +244,8 @@ def fit_field(sentences: list[tuple[list[bytes], list[int]]], steps: int = 80) -
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
         field.weights, field.moves = theta[:SLOTS], theta[SLOTS:].reshape(2, 2)
-        toxic, counts = forward_backward(field.emissions(slots, ids, starts), starts, sizes, field.moves)
+        odds = field.emissions(slots, ids, starts)
+        toxic, counts = forward_backward(odds, starts, sizes, field.moves, count=True)
         error = toxic - tags
         g = np.zeros_like(theta)
         per_word = np.bincount(ids, error, len(slots))
@@ -196,17 +260,19 @@ def fit_field(sentences: list[tuple[list[bytes], list[int]]], steps: int = 80) -
     return field
 
 
-def word_probabilities(texts: list[str | None], field: Field) -> Iterator[np.ndarray]:
-    """For each text, each word's probability of being toxic."""
-    vocabulary, waiting, words = Vocabulary(), [], 0
+def word_probabilities(
+    texts: list[str | None], field: Field, vocabulary: Vocabulary | None = None
+) -> Iterator[np.ndarray]:
+    """For each text, each word's probability of being toxic; a vocabulary serves further texts."""
+    vocabulary, waiting, words = vocabulary or Vocabulary(), [], 0
     for k, text in enumerate(texts):
         waiting.append(vocabulary.read(text))
         words += len(waiting[-1])
         if words >= BLOCK_WORDS or k == len(texts) - 1:
             yield from _block(vocabulary, waiting, field)
             waiting, words = [], 0
-            if len(vocabulary.ids) > 300_000:
-                vocabulary = Vocabulary()
+            if len(vocabulary.ids) > KEPT_WORDS:
+                vocabulary.forget()
 
 
 def _block(vocabulary: Vocabulary, texts: list[np.ndarray], field: Field) -> Iterator[np.ndarray]:
@@ -249,13 +315,13 @@ def training_texts(
     docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str, text: str, label: str
 ) -> DataFrame:
     """``label`` and ``text`` of the sampled documents among those that may be learned from."""
-    named = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
-    named = named.where(usable).distinct()
-    toxic = bounded_sample(named.where("label = 1"), "doc_id", SAMPLE)
+    named = agreed_labels(labels, doc_id, label).where(usable)
     clean = bounded_sample(named.where("label = 0"), "doc_id", 2 * SAMPLE)
+    # No more toxic than clean ones: else a word would have to be very frequent before its
+    # being in toxic documents only is no chance.
+    toxic = bounded_sample(named.where("label = 1"), "doc_id", min(SAMPLE, clean.count()))
     few = F.broadcast(toxic.unionByName(clean))  # 3 * SAMPLE ids at most
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return texts.join(few, "doc_id").select("label", "text")
+    return one_text_each(docs, few, doc_id, text)
 
 
 def toxic_keys(texts: DataFrame) -> set[bytes]:
@@ -336,8 +402,9 @@ def train(
 ) -> Field:
     """A field learned from labelled documents; ``usable`` says of ``doc_id`` which ones.
 
-    Without toxic and clean documents, or without a word that tells them apart, every
-    document scores near zero.
+    A null label or id teaches nothing, nor does an id whose labels contradict each other; of
+    rows of ``docs`` that repeat an id, one is read, the same on every run. Without toxic and
+    clean documents, or without a word that tells them apart, every document scores near zero.
     """
     usable = F.lit(True) if usable is None else usable
     # Few rows; dealt out, so that a sample of long texts is no single task.
@@ -375,14 +442,16 @@ def tag_documents(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: s
     A null or empty text has a score as any text without toxic words. Repeated rows are
     scored each; an empty table gives an empty result. Spans count code points.
     """
+    small_batches(docs.sparkSession)
     key = docs.schema[doc_id].dataType.simpleString()
     spans = pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32()}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             scores, marked = [], []
-            for text, toxic in zip(texts, word_probabilities(texts, field), strict=True):
+            for text, toxic in zip(texts, word_probabilities(texts, field, vocabulary), strict=True):
                 scores.append(document_score(toxic, field))
                 marked.append(spans_of(text, toxic))
             columns = [
@@ -398,11 +467,18 @@ def tag_documents(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: s
 
 
 def keep_clean(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score below ``TOXIC_FROM``; columns unchanged."""
+    """The rows of ``docs`` that score below ``TOXIC_FROM``; columns unchanged.
+
+    A null or empty text has no toxic word and stays. Rows that repeat are scored each; an
+    empty table stays empty; columns of any other name pass through.
+    """
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        found = word_probabilities(texts.tolist(), field)
-        return pd.Series([document_score(t, field) for t in found], dtype="float64")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        vocabulary = Vocabulary()
+        for texts in batches:
+            found = word_probabilities(texts.tolist(), field, vocabulary)
+            yield pd.Series([document_score(t, field) for t in found], dtype="float64")
 
     return docs.where(score(F.col(text).cast("string")) < TOXIC_FROM)

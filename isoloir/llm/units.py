@@ -27,13 +27,13 @@ def _sound(part: str) -> bool:
 class UnitEncoder:
     """Encodes texts as ids in bytes; ``encode_parts`` encodes a list of parts."""
 
-    def __init__(self, encode_parts: Callable[[list[str]], list[bytes]]) -> None:
-        self.encode_parts = encode_parts
+    def __init__(self, encode_parts: Callable[[list[str]], list[bytes]], kept: int = KEPT_PARTS) -> None:
+        self.encode_parts, self.kept = encode_parts, kept
         #: Sound parts only, so that a text all of whose parts are here is rightly cut.
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT_PARTS:
+        if len(self.known) > self.kept:
             self.known = {}
         known, new, odd = self.known, set(), {}
         for k, text in enumerate(texts):

@@ -118,17 +118,45 @@ def test_marginals_match_every_sequence(sentences, seed):
     moves = np.random.default_rng(seed).normal(size=(2, 2))
     lengths = np.array([len(s) for s in sentences])
     starts = np.cumsum(lengths) - lengths
-    toxic, counts = toxicity.forward_backward(np.concatenate(sentences), starts, lengths, moves)
+    toxic, counts = toxicity.forward_backward(np.concatenate(sentences), starts, lengths, moves, count=True)
     want = np.concatenate([chain_by_trial(s, moves) for s in sentences])
     assert np.allclose(toxic, want, atol=1e-9)
     assert np.isclose(counts.sum(), (lengths - 1).sum())
 
 
-def test_chains_end_with_sentences_documents_and_length():
+def test_chains_end_with_sentences_and_documents():
     ends = np.array([0, 1, 0, 0, 0] + [0] * 130, bool)
     docs = np.array([0, 0, 0, 1, 1] + [2] * 130)
     starts, lengths = toxicity.chains(ends, docs)
-    assert list(zip(starts, lengths, strict=True)) == [(0, 2), (2, 1), (3, 2), (5, 64), (69, 64), (133, 2)]
+    assert list(zip(starts, lengths, strict=True)) == [(0, 2), (2, 1), (3, 2), (5, 130)]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=6), st.integers(0, 10**6))
+def test_long_chains_are_one_chain(sizes, seed):
+    """Segments of five words give what whole chains give, counts too."""
+    random = np.random.default_rng(seed)
+    lengths = np.array(sizes)
+    starts, emissions = np.cumsum(lengths) - lengths, random.normal(size=lengths.sum(), scale=4)
+    moves = random.normal(size=(2, 2), scale=2)
+    found = []
+    for segment in (5, 10**6):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(toxicity, "SEGMENT", segment)
+            found.append(toxicity.forward_backward(emissions, starts, lengths, moves, count=True))
+    assert np.allclose(found[0][0], found[1][0], atol=1e-9) and np.allclose(found[0][1], found[1][1], atol=1e-6)
+
+
+def test_a_sentence_of_five_hundred_words_is_not_cut(field):
+    """A toxic word is told alike wherever in the sentence it stands, at a cut or not."""
+    found = set()
+    for place in (10, 63, 64, 65, 128, 300, 490):
+        words = ["banal"] * 500
+        words[place] = "grobian"
+        (toxic,) = toxicity.word_probabilities([" ".join(words)], field)
+        assert np.flatnonzero(toxic >= 0.5).tolist() == [place]
+        found.add(round(float(toxic[place]), 9))
+    assert len(found) == 1
 
 
 def corpus(n):
@@ -202,6 +230,49 @@ def test_held_out_documents_are_not_learned_from(spark):
     assert len(out) > 50 and not out & learned and len(learned) == len(docs) - len(out)
 
 
+def labels_of(spark, rows, label="toxic"):
+    return spark.createDataFrame(rows, f"doc_id long, {label} int")
+
+
+def test_repeated_and_contradicting_labels(spark):
+    """An id that very many rows have is read once; one with two labels is not learned from."""
+    docs = [(k, sentence(k, 20)) for k in range(8)] + [(3, sentence(1000 + k, 20)) for k in range(5000)]
+    docs += [(None, "x")] * 10
+    labels = [(k, k % 2) for k in range(8)] * 3 + [(1, 0), (4, 1), (None, 1), (6, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    texts = toxicity.training_texts(frame, labels_of(spark, labels), F.lit(True), "doc_id", "text", "toxic")
+    assert sorted(r.label for r in texts.collect()) == [0, 0, 0, 1, 1, 1]
+    rows = quality.labelled_texts(frame, labels_of(spark, labels, "quality"), "doc_id", "text", "quality").collect()
+    assert sorted(r.label for r in rows) == [0, 0, 0, 1, 1, 1]
+    again = quality.labelled_texts(frame.repartition(7), labels_of(spark, labels, "quality"), "doc_id", "text", "quality")
+    assert counted(again.collect()) == counted(rows)
+
+
+def test_nine_of_ten_labelled_documents_are_toxic(spark):
+    docs, labels = [], []
+    for k in range(600):
+        words, toxic = sentence(k, 40).split(), k % 10 > 0
+        if toxic:
+            words[(7 * k) % 40] = "grobian"
+            words[(7 * k + 11) % 40] = "zankvolk,"
+        docs.append((k, " ".join(words)))
+        labels.append((k, int(toxic)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = toxicity.train(frame, labels_of(spark, labels))
+    new = [(k, " ".join([*sentence(k, 20).split(), *(["zankvolk", "grobian"] if k % 2 else ["und"]), *sentence(k + 1, 9).split()])) for k in range(2000, 2100)]
+    rows = toxicity.tag_documents(spark.createDataFrame(new, "doc_id long, text string"), found).collect()
+    assert sum((r.score >= toxicity.TOXIC_FROM) == bool(r.doc_id % 2) for r in rows) >= 98
+
+
+def test_a_rarer_toxic_word_is_learned(spark):
+    """In thirty of eight hundred toxic documents, beside words that all of them have."""
+    docs, labels = corpus(1200)
+    docs = [(k, t + " seltsamkerl") if k % 4 == 0 and k % 40 == 0 else (k, t) for k, t in docs]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    texts = toxicity.training_texts(frame, labels_of(spark, labels), F.lit(True), "doc_id", "text", "toxic")
+    assert b"wseltsamkerl" in toxicity.toxic_keys(texts)
+
+
 # --- language model -------------------------------------------------------------------------
 
 
