@@ -12,8 +12,11 @@ from isoloir.functions.columns import ColumnOrName, column
 from isoloir.functions.scales import COLOURS, class_colour, linear_size, quantile_class
 from isoloir.operators.quantiles import (
     approximate_thresholds,
+    branch,
     histogram_of,
+    merged,
     quantile_thresholds,
+    sketch_of,
 )
 from isoloir.schema import LATITUDE, LONGITUDE, RATE, REGISTERED
 
@@ -90,22 +93,28 @@ def fit_scales(
     """
     value = _finite(column(rate).cast("double"))
     size, lat, lon = (_finite(column(c)) for c in (size, latitude, longitude))
-    row = df.agg(
+    bounds = {"low": value, "size_low": size, "south": lat, "west": lon}
+    tops = {"high": value, "size_high": size, "north": lat, "east": lon}
+    exact = accuracy is None
+    sketch = [sketch_of(value).alias("sketch")] if exact else []
+    parts = df.groupBy(branch().alias("branch")).agg(
         F.count(value).alias("n"),
-        F.min(value).alias("low"),
-        F.max(value).alias("high"),
-        histogram_of(value).alias("histogram"),
-        F.min(size).alias("size_low"),
-        F.max(size).alias("size_high"),
-        F.min(lat).alias("south"),
-        F.max(lat).alias("north"),
-        F.min(lon).alias("west"),
-        F.max(lon).alias("east"),
-    ).first()
-    if accuracy is None:
+        *[F.min(c).alias(n) for n, c in bounds.items()],
+        *[F.max(c).alias(n) for n, c in tops.items()],
+        *sketch,
+    )
+    whole = parts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        *[F.min(n).alias(n) for n in bounds],
+        *[F.max(n).alias(n) for n in tops],
+        *[merged("sketch").alias("sketch") for _ in sketch],
+    )
+    if exact:
+        row = whole.withColumn("histogram", histogram_of("sketch", "n")).drop("sketch").first()
         start = (row["n"], row["low"], row["high"], row["histogram"])
         cuts = quantile_thresholds(df, rate, classes, start)
     else:
+        row = whole.first()
         cuts = approximate_thresholds(df, rate, classes, accuracy)
     return LayerScales(
         cuts,
