@@ -709,6 +709,41 @@ def copied_without_gaps(spark, sf):
     return conform(rows, struct(c_custkey=LONG, c_name=TEXT, segment=TEXT))
 
 
+def geo_split_scan(spark, sf):
+    """The geo table in files of quoted fields with line breaks, cut into records by many tasks."""
+    path = scratch_folder(spark, "geo")
+    supplier = table(spark, sf, "supplier")
+    breaks = F.array_join(F.array_repeat(F.lit('rue "A",\n'), (F.col("s_suppkey") % 9).cast("int")), "")
+    places = supplier.select(
+        text("s_suppkey").alias("code"),
+        F.concat(breaks, F.col("s_name")).alias("geo_adresse"),
+        text("s_nationkey").alias("longitude"),
+    )
+    places.write.options(header=True, escape='"', quoteAll=True).csv(path)
+    spec = SourceSpec(separator=",", columns=("geo_adresse", "code"), multiline=True, split_above=0)
+    rows = read_delimited(spark, path, spec)
+    lines = F.size(F.split("geo_adresse", "\n"))
+    return rows.select(
+        F.col("code").cast("bigint").alias("s_suppkey"),
+        "geo_adresse",
+        lines.cast("bigint").alias("n_lines"),
+    )
+
+
+def headers_of_two_orders(spark, sf):
+    """One folder, two orders of columns, one of them with a column more."""
+    path = scratch_folder(spark, "orders")
+    customer = _customer_text(spark, sf)
+    even = where_equals(customer.withColumn("odd", F.col("c_custkey").cast("bigint") % 2), "odd", 0)
+    odd = where_equals(customer.withColumn("odd", F.col("c_custkey").cast("bigint") % 2), "odd", 1)
+    even = even.select("c_acctbal", "c_name", "c_nationkey", "c_custkey")
+    odd = odd.select("c_custkey", "c_mktsegment", "c_nationkey", "c_name", "c_acctbal")
+    for part in (even, odd):
+        part.write.mode("append").options(header=True, sep=";").csv(path)
+    spec = SourceSpec(columns=("c_custkey", "c_name", "c_nationkey", "c_acctbal"))
+    return _typed_customer(read_delimited(spark, path, spec))
+
+
 QUERIES: dict[str, Query] = {
     "flagship": flagship,
     "build_2017": build_2017,
@@ -773,4 +808,6 @@ QUERIES: dict[str, Query] = {
     "latin1_roundtrip": latin1_roundtrip,
     "ragged_rows": ragged_rows,
     "clean_copy": copied_without_gaps,
+    "geo_split_scan": geo_split_scan,
+    "headers_of_two_orders": headers_of_two_orders,
 }

@@ -346,4 +346,10 @@ ORACLE: dict[str, str] = {
     "clean_copy": """
         SELECT c_custkey, c_name, c_mktsegment AS segment FROM customer
         WHERE c_mktsegment <> 'HOUSEHOLD'""",
+    "geo_split_scan": """
+        SELECT s_suppkey, repeat('rue "A",' || chr(10), CAST(s_suppkey % 9 AS INTEGER)) || s_name
+                   AS geo_adresse,
+               CAST(s_suppkey % 9 + 1 AS BIGINT) AS n_lines
+        FROM supplier""",
+    "headers_of_two_orders": CUSTOMER,
 }

@@ -72,9 +72,9 @@ class SourceSpec:
     ``columns`` are the required header names, in the order wanted; ``None``
     keeps every column. ``line_sep`` is left to Spark (LF, CRLF and CR all end
     a record) unless a file needs one particular terminator. ``multiline`` allows
-    line breaks inside quoted fields; such a file is one scan task, whatever its
-    size. ``partitions`` spreads the rows after the scan, for files that one task
-    reads.
+    line breaks inside quoted fields; a file of that kind is one scan task, but files
+    of more than ``split_above`` bytes together are cut into records by many tasks.
+    ``partitions`` spreads the rows after the scan, for files that one task reads.
     """
 
     separator: str = ";"
@@ -83,6 +83,7 @@ class SourceSpec:
     na_tokens: tuple[str, ...] = NA_TOKENS
     line_sep: str | None = None
     multiline: bool = False
+    split_above: int = 64 << 20
     partitions: int | None = None
 
 

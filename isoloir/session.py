@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session_builder(
@@ -40,7 +40,13 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     That is what ``spark.checkpoint.dir`` names or, where it is unset, the
     warehouse. What one session writes there is removed when it ends in order.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        context = spark.sparkContext
+        # The default warehouse is a folder of the driver's own machine.
+        if not context.master.startswith("local") and not context.getConf().contains("spark.sql.warehouse.dir"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     root = f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -48,3 +54,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         files.mkdirs(folder)
         files.deleteOnExit(folder)
     return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back, which cuts its lineage."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,22 +2,47 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from isoloir.functions.columns import col
 from isoloir.functions.text import null_tokens
 from isoloir.operators.cleaning import drop_incomplete
 from isoloir.schema import SourceSpec
+from isoloir.sources.headers import bytes_of, check_names, files_by_header, files_of
+from isoloir.sources.records import read_records
 
 
 def read_delimited(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
     """The spec's columns as text, found by header name, null tokens as null.
 
-    A missing column fails when the plan is analysed. Fields beyond the header
-    are ignored (``PERMISSIVE``), doubled quotes inside a quoted field are one
-    quote, and ``.gz`` files are unpacked while reading. A compressed file is
-    one task; ``spec.partitions`` spreads its rows when later work is heavy.
+    The files of a folder may have their columns in different orders: each file's header is
+    read, and files that share one are read together. A missing column fails when the plan is
+    made. Fields beyond the header are ignored (``PERMISSIVE``), doubled quotes inside a
+    quoted field are one quote, and ``.gz`` files are unpacked while reading. A compressed
+    file is one task; ``spec.partitions`` spreads its rows when later work is heavy.
     """
+    files = files_of(spark, path)
+    if spec.multiline and bytes_of(spark, files) > spec.split_above:
+        rows = read_records(spark, path, spec)
+    elif spec.columns is None or len(files) < 2:
+        rows = _read(spark, path, spec)
+    else:
+        headers = files_by_header(spark, files, spec.separator, spec.encoding, spec.line_sep)
+        check_names(headers, spec.columns)
+        # Files of one header are one scan, of the folder itself if they all are.
+        groups = [path] if len(headers) < 2 else list(headers.values())
+        picked = [col(n) for n in spec.columns]
+        parts = [_read(spark, group, spec).select(*picked) for group in groups]
+        rows = reduce(DataFrame.unionByName, parts)
+    names = rows.columns if spec.columns is None else spec.columns
+    rows = rows.select(*[null_tokens(col(n), spec.na_tokens).alias(n) for n in names])
+    return rows if spec.partitions is None else rows.repartition(spec.partitions)
+
+
+def _read(spark: SparkSession, path: str | list[str], spec: SourceSpec) -> DataFrame:
+    """Files of one header, by Spark's reader."""
     reader = spark.read.options(
         header=True,
         sep=spec.separator,
@@ -26,16 +51,13 @@ def read_delimited(spark: SparkSession, path: str, spec: SourceSpec) -> DataFram
         escape='"',
         multiLine=spec.multiline,
         inferSchema=False,
-        # Names are looked up in one header. In a folder of files, a file whose
-        # wanted columns stand elsewhere fails instead of being misread.
+        # Should a file have wanted columns elsewhere all the same, it fails instead of being
+        # misread.
         enforceSchema=spec.columns is None,
     )
     if spec.line_sep is not None:
         reader = reader.option("lineSep", spec.line_sep)
-    rows = reader.csv(path)
-    names = rows.columns if spec.columns is None else spec.columns
-    rows = rows.select(*[null_tokens(col(n), spec.na_tokens).alias(n) for n in names])
-    return rows if spec.partitions is None else rows.repartition(spec.partitions)
+    return reader.csv(path)
 
 
 def clean_copy(spark: SparkSession, source: str, spec: SourceSpec, target: str) -> None:

@@ -1,0 +1,144 @@
+"""Delimited files whose records hold line breaks, whose headers differ, read by many tasks."""
+
+import csv
+import io
+import random
+from contextlib import contextmanager
+
+import pytest
+from conftest import rows
+from isoloir.functions import col
+from isoloir.schema import SourceSpec
+from isoloir.sources import read_delimited, records
+from isoloir.sources.headers import files_of, first_line, header_fields
+
+SPLIT = "spark.sql.files.maxPartitionBytes"
+
+
+@contextmanager
+def scan_blocks(spark, size):
+    before = spark.conf.get(SPLIT)
+    spark.conf.set(SPLIT, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(SPLIT, before)
+
+
+def spec(*columns, **options):
+    return SourceSpec(separator=",", columns=columns or None, multiline=True, split_above=-1, **options)
+
+
+def table(seed, n):
+    """Fields with breaks, quotes and separators, some of them longer than a scan block."""
+    dice = random.Random(seed)
+    texts = ["plain", "", "two\nlines", 'say ""hi""'.replace('""', '"'), "a,b", "\n\n", "x\r\ny", '"', "é中", "end\n"]
+    out = []
+    for k in range(n):
+        long = "long\n" * dice.randrange(60, 120) if dice.random() < 0.02 else ""
+        out.append((str(k), dice.choice(texts) + long, dice.choice(texts), f"v{k}"))
+    return out
+
+
+def text_of(header, body, end="\n"):
+    file = io.StringIO()
+    writer = csv.writer(file, lineterminator=end, quoting=csv.QUOTE_MINIMAL)
+    writer.writerows([header, *body])
+    return file.getvalue()
+
+
+def plain(found):
+    """Rows with null as the empty text, which the null tokens make of it."""
+    return sorted(tuple(v or "" for v in r) for r in found)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("seed", range(3))
+def test_records_are_those_of_a_plain_reader(spark, tmp_path, monkeypatch, seed, end):
+    # Runs of four lines and blocks of 300 bytes: most records are cut somewhere.
+    monkeypatch.setattr(records, "RUN", 2)
+    body = table(seed, 600)
+    path = tmp_path / "t.csv"
+    path.write_text(text_of(("id", "a", "b", "c"), body, end), newline="", encoding="utf-8")
+    with scan_blocks(spark, "300"):
+        lines = records.lines_of(spark, str(path))
+        assert lines.select("block").distinct().count() > 50
+        got = rows(read_delimited(spark, str(path), spec("id", "c", "a", "b")))
+    assert plain(got) == sorted((i, c, a, b) for i, a, b, c in body)
+
+
+def test_the_same_rows_as_one_task_reads(spark, tmp_path):
+    body = table(9, 300)
+    path = tmp_path / "t.csv"
+    path.write_text(text_of(("id", "a", "b", "c"), body), newline="", encoding="utf-8")
+    whole = read_delimited(spark, str(path), SourceSpec(separator=",", columns=("id", "a", "b", "c"), multiline=True))
+    with scan_blocks(spark, "2KB"):
+        got = rows(read_delimited(spark, str(path), spec("id", "a", "b", "c")))
+    assert sorted(got, key=str) == sorted(rows(whole), key=str)
+
+
+def test_nothing_is_shuffled_where_no_field_is_broken(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b\n" + "".join(f'{k},"x, ""{k}"""\n' for k in range(20_000)), encoding="utf-8")
+    with scan_blocks(spark, "32KB"):
+        lines = records.lines_of(spark, str(path))
+        assert records.open_runs(lines).isEmpty()
+        assert records.records_of(lines).count() == 20_001
+        got = read_delimited(spark, str(path), spec("a", "b"))
+        assert rows(got.where(col("a") == "7")) == [("7", 'x, "7"')]
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n1,"open\n' + "2,x\n" * 500, encoding="utf-8")
+    with pytest.raises(ValueError, match="never closed"):
+        records.read_records(spark, str(path), spec("a"), longest=100)
+
+
+def test_encodings_headers_and_empty_files(spark, tmp_path):
+    (tmp_path / "one.csv").write_bytes('numéro,"x\ny",b\n1,"é\nè",2\n\n3,4,5,6\n7\n'.encode("latin-1"))
+    (tmp_path / "two.csv").write_bytes('b,numéro\n"8\r\n8",9\n'.encode("latin-1"))
+    (tmp_path / "three.csv").write_bytes(b"")
+    got = read_delimited(spark, str(tmp_path), spec("numéro", "b", encoding="ISO-8859-1"))
+    assert sorted(rows(got), key=str) == [("1", "2"), ("3", "5"), ("7", None), ("9", "8\r\n8")]
+    with pytest.raises(ValueError, match="no column called 'x"):
+        read_delimited(spark, str(tmp_path), spec("x\ny", encoding="ISO-8859-1"))
+    with pytest.raises(ValueError, match="no header"):
+        read_delimited(spark, str(tmp_path / "three.csv"), spec("a"))
+
+
+# Headers of files that are read as they are
+
+
+def test_files_of_a_folder_are_read_by_their_own_headers(spark, tmp_path):
+    for name, text in {
+        "p1.csv": "a;b;c\n1;2;3\n", "p2.csv": 'c;"b";a\n6;5;4\n', "p3.csv": "﻿a;b;c\n7;8;9\n", "p4.csv": "",
+    }.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    got = read_delimited(spark, str(tmp_path), SourceSpec(columns=("b", "a")))
+    assert sorted(rows(got)) == [("2", "1"), ("5", "4"), ("8", "7")]
+    with pytest.raises(ValueError, match="no column called 'd'"):
+        read_delimited(spark, str(tmp_path), SourceSpec(columns=("d",)))
+    (tmp_path / "p5.csv").write_text("a;b;a\n1;2;3\n")
+    with pytest.raises(ValueError, match="several columns called 'a'"):
+        read_delimited(spark, str(tmp_path), SourceSpec(columns=("a",)))
+    assert read_delimited(spark, str(tmp_path), SourceSpec(columns=("b",))).count() == 4
+
+
+def test_files_of_one_header_are_one_scan(spark, tmp_path):
+    for k in range(6):
+        (tmp_path / f"p {k}.csv").write_text("a;b\n1;2\n" if k % 2 else "b;a\n2;1\n")
+    got = read_delimited(spark, str(tmp_path), SourceSpec(columns=("a", "b")))
+    assert got._jdf.queryExecution().toString().count("FileScan csv") == 2
+    assert rows(got) == [("1", "2")] * 6
+
+
+def test_first_lines(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "x y.csv").write_bytes("é;b\r\n1;2\r\n".encode())
+    (tmp_path / "z.csv.gz").write_bytes(gzip.compress(b"a;b\r1;2"))
+    files = files_of(spark, str(tmp_path))
+    assert [first_line(spark, f) for f in files] == ["é;b", "a;b"]
+    assert header_fields('a;"b;""c""";', ";") == ("a", 'b;"c"', "")
+    assert header_fields("a;b|1;2|3", ";", "|") == ("a", "b")

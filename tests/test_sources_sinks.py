@@ -42,14 +42,6 @@ def test_missing_column_fails_before_anything_runs(spark, files):
         read_delimited(spark, files["export_2017.csv"], spec(CODE, "location"))
 
 
-def test_files_of_a_folder_must_agree_on_wanted_columns(spark, tmp_path):
-    for name, text in {"p1.csv": "a;b;c\n1;2;3\n", "p2.csv": "c;b;a\n6;5;4\n"}.items():
-        written(tmp_path, name, text)
-    assert sorted(rows(read_delimited(spark, str(tmp_path), spec("b")))) == [("2",), ("5",)]
-    with pytest.raises(Exception, match="CSV header"):
-        read_delimited(spark, str(tmp_path), spec("a")).collect()
-
-
 def test_repeated_and_empty_header_names_elsewhere(spark, tmp_path):
     path = written(tmp_path, "t.csv", "a;b;b;;c\n1;2;3;4;5;6\n")
     assert rows(read_delimited(spark, path, spec("c", "a"))) == [("5", "1")]
