@@ -32,6 +32,8 @@ from isoloir.plans.layers import (
     map_layer,
     national_layer,
     points,
+    publish_national_layer,
+    published_national_layer,
 )
 from isoloir.plans.questions import (
     commune_pairs,
@@ -45,6 +47,7 @@ from isoloir.schema import ELECTION, FRANCE_2017, FRANCE_2022, NA_TOKENS, Source
 from isoloir.session import scratch_folder
 from isoloir.sinks import ensure_database, replace_stations, replace_table, save_layer
 from isoloir.sources import clean_copy, read_delimited, read_stations
+from isoloir.versions import publish_stations, read_published
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -744,6 +747,29 @@ def headers_of_two_orders(spark, sf):
     return _typed_customer(read_delimited(spark, path, spec))
 
 
+def replaced_together(spark, sf):
+    """Two statuses change in one version, one of them to nothing; both versions are read."""
+    path = scratch_folder(spark, "versions")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    publish_stations(orders, path, partition="o_orderstatus")
+    changed = where_equals(orders, "o_orderstatus", "F").withColumn("o_totalprice", -F.col("o_totalprice"))
+    publish_stations(changed, path, ["F", "P"], "o_orderstatus", cluster_by=("o_orderkey",))
+    both = [read_published(spark, path, orders.schema, version=v).withColumn("version", F.lit(v)) for v in (1, 2)]
+    return both[0].unionByName(both[1])
+
+
+def layer_follows_stations(spark, sf):
+    """A published layer is made anew once a commune is gone from its stations."""
+    path = scratch_folder(spark, "published")
+    built = _stations(spark, sf, 2017)
+    publish_stations(built, path)
+    publish_national_layer(spark, path, outside=("2",))
+    publish_stations(built.where(fn.col("Libellé de la commune") != "BUILDING"), path)
+    layer, scales = published_national_layer(spark, path, outside=("2",))
+    shown = [F.lit(round(t, 6)).alias(f"threshold_{k}") for k, t in enumerate(scales.thresholds)]
+    return layer.withColumnsRenamed(PLAIN).select("*", *shown)
+
+
 QUERIES: dict[str, Query] = {
     "flagship": flagship,
     "build_2017": build_2017,
@@ -810,4 +836,6 @@ QUERIES: dict[str, Query] = {
     "clean_copy": copied_without_gaps,
     "geo_split_scan": geo_split_scan,
     "headers_of_two_orders": headers_of_two_orders,
+    "replaced_together": replaced_together,
+    "layer_follows_stations": layer_follows_stations,
 }

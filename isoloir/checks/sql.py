@@ -352,4 +352,15 @@ ORACLE: dict[str, str] = {
                CAST(s_suppkey % 9 + 1 AS BIGINT) AS n_lines
         FROM supplier""",
     "headers_of_two_orders": CUSTOMER,
+    "replaced_together": """
+        SELECT o_orderkey, o_totalprice, o_orderstatus, 1 AS version FROM orders
+        UNION ALL
+        SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN -o_totalprice ELSE o_totalprice END,
+               o_orderstatus, 2 FROM orders WHERE o_orderstatus <> 'P'""",
+    "layer_follows_stations": f"""
+        WITH layer AS ({LAYER.format(
+            stations=STATIONS_2017, where="NOT regexp_matches(code, '^2') AND commune <> 'BUILDING'")}),
+        view AS (SELECT quantile_cont(rate, {SIXTHS}) AS cuts FROM layer)
+        SELECT layer.*, {', '.join(f'round(cuts[{k + 1}], 6) AS threshold_{k}' for k in range(5))}
+        FROM layer, view""",
 }

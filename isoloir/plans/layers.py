@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, SparkSession
 
 from isoloir.functions.columns import col
@@ -17,14 +19,20 @@ from isoloir.schema import (
     RATE,
     REGISTERED,
 )
-from isoloir.sources.tables import read_layer, read_scales
+from isoloir.sources.tables import read_layer, read_scales, read_stations
+from isoloir.versions import current, publish_layer
 
 SHOWN_RATE = "Pourcentage Abstentions"
 # The fields of a point's tooltip, in display order.
 TOOLTIP = (SHOWN_RATE, ABSTENTIONS, REGISTERED, DEPARTMENT, COMMUNE, ADDRESS)
+NATIONAL = "national"
 CHANNELS = ("colour_class", "colour", "stroke_colour", "size")
 
 
+class StaleLayer(RuntimeError):
+    """The stations have changed since the layer was made of them."""
+
+
 def points(stations: DataFrame) -> DataFrame:
     """Position and tooltip fields, the rate under its display name."""
     shown = stations.withColumnRenamed(RATE, SHOWN_RATE)
@@ -53,10 +61,45 @@ def map_layer(
     return layer_with_scales(stations, scales, accuracy)[0]
 
 
+def publish_national_layer(spark: SparkSession, path: str, **options) -> tuple[DataFrame, LayerScales]:
+    """Make the layer of metropolitan France of a table with versions, and publish it there.
+
+    Points, scales and the version of the stations appear together. ``options`` go to
+    ``metropolitan``.
+    """
+    made_of = current(spark, path)
+    stations = read_stations(spark, path, version=made_of.number)
+    layer, scales = layer_with_scales(metropolitan(stations, **options))
+    publish_layer(layer, path, NATIONAL, asdict(scales), made_of.stations)
+    return published_national_layer(spark, path)
+
+
+def published_national_layer(
+    spark: SparkSession, path: str, on_stale: str = "recompute", **options
+) -> tuple[DataFrame, LayerScales]:
+    """The published layer with its scales, if the stations are still those it was made of.
+
+    Otherwise, and where none was published, it is made anew and published, or refused
+    (``on_stale="raise"``).
+    """
+    pointer = current(spark, path)
+    layer = None if pointer is None else pointer.layers.get(NATIONAL)
+    if layer is None or layer["stations"] != pointer.stations:
+        if on_stale == "raise" or pointer is None:
+            raise StaleLayer(f"{path} has no layer of its present stations")
+        return publish_national_layer(spark, path, **options)
+    scales = {**layer["scales"], "thresholds": tuple(layer["scales"]["thresholds"])}
+    return spark.read.parquet(f"{path.rstrip('/')}/{layer['folder']}"), LayerScales(**scales)
+
+
 def national_layer(
     spark: SparkSession, stations: DataFrame | None = None, saved: str | None = None
 ) -> tuple[DataFrame, LayerScales]:
-    """Metropolitan France with its scales: as saved if it was, else computed now."""
+    """Metropolitan France with its scales: as saved if it was, else computed now.
+
+    A layer saved by itself does not know its stations; one that is to follow them is
+    published with them (``published_national_layer``).
+    """
     if saved is not None:
         return read_layer(spark, saved), read_scales(spark, saved)
     if stations is None:

@@ -43,7 +43,9 @@ def replace_stations(
 ) -> None:
     """Write ``df`` so that each election in it replaces its stored rows.
 
-    Elections that ``df`` does not hold stay as they are. With ``elections``,
+    Elections that ``df`` does not hold stay as they are. Readers may see some of several
+    elections replaced before the others, and a job that fails leaves those replaced; a table
+    that must not be seen so has versions (``versions.publish_stations``). With ``elections``,
     exactly those are replaced, one job each: one that has no rows in ``df`` has
     none afterwards, and rows of others are not written. Without
     ``cluster_by`` there is no shuffle; with it, one shuffle at build time lets

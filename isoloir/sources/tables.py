@@ -9,10 +9,18 @@ from pyspark.sql import functions as F
 
 from isoloir.operators.scales import LayerScales
 from isoloir.schema import ELECTION, STORED_SCHEMA
+from isoloir.versions import current, read_published
 
 
-def read_stations(spark: SparkSession, path: str, election: int | None = None) -> DataFrame:
-    """The stored stations; ``election`` prunes to that election's folder."""
+def read_stations(
+    spark: SparkSession, path: str, election: int | None = None, version: int | None = None
+) -> DataFrame:
+    """The stored stations; ``election`` prunes to that election's folder.
+
+    Of a table with versions, the latest or the one that is named.
+    """
+    if version is not None or current(spark, path) is not None:
+        return read_published(spark, path, STORED_SCHEMA, election, version)
     stations = spark.read.schema(STORED_SCHEMA).parquet(path)
     return stations if election is None else stations.where(F.col(ELECTION) == election)
 
