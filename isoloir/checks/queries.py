@@ -38,6 +38,7 @@ from isoloir.plans.layers import (
 from isoloir.plans.questions import (
     commune_pairs,
     communes_by_department,
+    communes_in_chunks,
     departments,
     in_department,
     metropolitan,
@@ -300,8 +301,11 @@ def stations_in_table(spark, sf):
 
 
 def stations_in_long_list(spark, sf):
-    """Every third customer by name, more values than a filter holds; stray blanks."""
+    """Every third customer by name, of a stored table that scans skip through; stray blanks."""
+    path = scratch_folder(spark, "bloom")
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    replace_stations(customer, path, "c_nationkey", bloom_on=("c_name",))
+    customer = spark.read.schema(customer.schema).parquet(path)
     names = [f"\tCustomer#{k:09d}\n " for k in range(0, 60_000, 3)]
     return where_member(customer, "c_name", names)
 
@@ -339,6 +343,13 @@ def communes_in_departments(spark, sf):
     return lists.select("p_type", F.array_join("communes", "|").alias("communes"))
 
 
+def communes_in_rows(spark, sf):
+    """The customers of each chosen nation, forty in a row."""
+    customer = table(spark, sf, "customer").select(text("c_nationkey").alias("nation"), "c_name")
+    chosen = [str(k) for k in range(0, 25, 2)]
+    return communes_in_chunks(customer, chosen, 40, "nation", "c_name")
+
+
 def commune_pair_rows(spark, sf):
     return commune_pairs(
         table(spark, sf, "part"), ["ECONOMY", "SMALL", "LARGE"], "p_type", "p_brand"
@@ -811,6 +822,7 @@ QUERIES: dict[str, Query] = {
     "departments": department_labels,
     "communes_by_department": communes_in_departments,
     "commune_pairs": commune_pair_rows,
+    "communes_in_chunks": communes_in_rows,
     "union_by_name": union_by_name,
     "quantile_cuts": quantile_cuts,
     "quantile_class": quantile_class,

@@ -352,6 +352,13 @@ ORACLE: dict[str, str] = {
                CAST(s_suppkey % 9 + 1 AS BIGINT) AS n_lines
         FROM supplier""",
     "headers_of_two_orders": CUSTOMER,
+    "communes_in_chunks": """
+        SELECT nation, chunk, list_sort(list(c_name)) AS communes
+        FROM (SELECT nation, c_name,
+                     (row_number() OVER (PARTITION BY nation ORDER BY c_name) - 1) // 40 AS chunk
+              FROM (SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS nation, c_name FROM customer
+                    WHERE c_nationkey % 2 = 0))
+        GROUP BY 1, 2""",
     "replaced_together": """
         SELECT o_orderkey, o_totalprice, o_orderstatus, 1 AS version FROM orders
         UNION ALL

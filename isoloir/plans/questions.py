@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloir.functions.columns import col
@@ -15,6 +15,7 @@ from isoloir.operators.selection import (
     where_without_prefixes,
 )
 from isoloir.schema import CODE, COMMUNE, LABEL
+from isoloir.session import stored
 
 # Overseas and abroad: letter codes ZA to ZZ, and 97x and 98x.
 OUTSIDE_METROPOLE = ("Z", "97", "98")
@@ -43,6 +44,34 @@ def commune_pairs(
     return where_member(stations, label, chosen).select(col(label), col(commune)).distinct()
 
 
+def communes_in_chunks(
+    stations: DataFrame,
+    chosen: Iterable[str] | DataFrame,
+    size: int = 1_000,
+    label: str = LABEL,
+    commune: str = COMMUNE,
+) -> DataFrame:
+    """The sorted communes of each chosen department in rows of at most ``size``.
+
+    ``chunk`` numbers the rows of a department from 0; all but its last are full. Columns of
+    any number of values per group can be listed so: distinct pairs are dealt by ranges and
+    stored, a range counts what it has of each department, and a commune's place is what the
+    ranges before it count and its place within its own. A null commune is listed nowhere.
+    """
+    pairs = commune_pairs(stations, chosen, label, commune).toDF("label", "commune")
+    # Ranges follow each other in the order of both columns, so a large department has several.
+    ranged = pairs.where("commune IS NOT NULL").repartitionByRange("label", "commune")
+    ranged = stored(ranged.select("*", F.spark_partition_id().alias("range")), "pairs")
+    counts = ranged.groupBy("label", "range").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("label").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select("label", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    here = Window.partitionBy("label", "range").orderBy("commune")
+    numbered = ranged.withColumn("own", F.row_number().over(here) - 1).join(firsts, ["label", "range"])
+    chunk = F.floor((F.col("first") + F.col("own")) / size).cast("long")
+    listed = numbered.groupBy("label", chunk.alias("chunk")).agg(F.array_sort(F.collect_list("commune")).alias("communes"))
+    return listed.withColumnRenamed("label", label)
+
+
 def communes_by_department(
     stations: DataFrame,
     chosen: Iterable[str] | DataFrame,
@@ -52,7 +81,8 @@ def communes_by_department(
     """Each chosen department with the sorted list of its communes.
 
     A list holds a department's different communes, of which there are some
-    hundreds. For columns with more values per group use ``commune_pairs``.
+    hundreds. For columns with more values per group use ``communes_in_chunks``
+    or ``commune_pairs``.
     """
     pairs = commune_pairs(stations, chosen, label, commune)
     return pairs.groupBy(col(label)).agg(

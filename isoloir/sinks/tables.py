@@ -40,6 +40,7 @@ def replace_stations(
     cluster_by: Sequence[str] = (),
     max_records_per_file: int = 0,
     elections: Iterable[object] | None = None,
+    bloom_on: Sequence[str] = (),
 ) -> None:
     """Write ``df`` so that each election in it replaces its stored rows.
 
@@ -49,7 +50,9 @@ def replace_stations(
     exactly those are replaced, one job each: one that has no rows in ``df`` has
     none afterwards, and rows of others are not written. Without
     ``cluster_by`` there is no shuffle; with it, one shuffle at build time lets
-    later reads by those columns skip row groups. The replaced files go when
+    later reads by those columns skip row groups; columns in ``bloom_on`` get
+    filters by which reads skip row groups that have none of the values they
+    look for, however the rows are sorted. The replaced files go when
     the job commits. Never pass a ``df`` that reads ``path`` itself.
     """
     if elections is None:
@@ -61,6 +64,8 @@ def replace_stations(
             targets[f"{path}/{_folder_of(partition, value)}"] = rows.drop(partition)
     for target, rows in targets.items():
         writer = rows.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+        for name in bloom_on:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
         if elections is None:
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
         writer.parquet(target)

@@ -21,7 +21,13 @@ from isoloir.operators import (
     where_prefix,
     where_without_prefixes,
 )
-from isoloir.plans.questions import commune_pairs, stations_in
+from isoloir.operators.selection import covering_ranges
+from isoloir.plans.questions import (
+    commune_pairs,
+    communes_by_department,
+    communes_in_chunks,
+    stations_in,
+)
 from isoloir.schema import CODE, COMMUNE, FRANCE_2017
 from isoloir.sinks import replace_stations
 from isoloir.sinks.tables import _clustered
@@ -185,12 +191,12 @@ def test_lists_long_lists_and_tables_select_alike(spark):
     df = spark.createDataFrame([(1, "n1", "a"), (2, "n2", "b"), (3, None, "c")], "id int, name string, x string")
     values = ["\tn1\n", " ", None, "n1", "\u00a0n1\x1f"]
     as_table = spark.createDataFrame([(v,) for v in values], "v string")
-    for chosen, options in ((values, {}), (values, {"inline": 0}), (as_table, {})):
+    for chosen, options in ((values, {}), (values, {"inline": 0}), (values, {"inline": 0, "filtered": 0}), (as_table, {})):
         found = where_member(df, "name", chosen, **options)
         assert found.columns == df.columns and rows(found) == [(1, "n1", "a")]
     pairs = [("\tn1\n", " a "), ("n2", "a"), (" ", "b"), (None, None)]
     as_table = spark.createDataFrame(pairs, "v string, w string")
-    for chosen, options in ((pairs, {}), (pairs, {"inline": 0}), (as_table, {})):
+    for chosen, options in ((pairs, {}), (pairs, {"inline": 0}), (pairs, {"inline": 0, "filtered": 0}), (as_table, {})):
         found = where_any_pair(df, "name", "x", chosen, **options)
         assert found.columns == df.columns and rows(found) == [(1, "n1", "a")]
     assert where_member(df, "name", []).count() == where_any_pair(df, "name", "x", []).count() == 0
@@ -207,3 +213,78 @@ def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):
         assert word not in plan
+
+
+def scanned_rows(df):
+    """Rows that the scan gave to the filter above it, after running the query."""
+    with settings(df.sparkSession, adaptive__enabled="false"):
+        df = df.select("*")
+        df.collect()
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(k) for k in range(leaves.size())]
+    return max(s.metrics().apply("numOutputRows").value() for s in scans if s.nodeName().startswith("Scan parquet"))
+
+
+@pytest.fixture(scope="module")
+def stored_names(spark, tmp_path_factory):
+    """Sixteen row groups: names are spread over them all, codes are not."""
+    path = str(tmp_path_factory.mktemp("bloom"))
+    rows = spark.range(0, 160_000, 1, 1).selectExpr(
+        "concat('name ', id * 7919 % 160000) AS name", "concat('code ', lpad(id, 6, '0')) AS code"
+    )
+    options = {"parquet.block.size": 200_000, "parquet.bloom.filter.enabled#name": "true", "parquet.enable.dictionary": "false"}
+    rows.write.options(**options).mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def test_long_lists_skip_row_groups(spark, stored_names):
+    everything = stored_names.count()
+    near = [f"name {k * 7919 % 160000}" for k in range(50)]
+    wanted = near + [f"absent's \\ {k}" for k in range(3000)]
+    found = where_member(stored_names, "name", wanted)
+    assert "PushedFilters: [In(name" in plan_of(found) and "Join" not in plan_of(found)
+    assert found.count() == 50 and scanned_rows(found) < everything / 3
+    # Too many for a filter: the ranges they lie in are one, and the rest is a join.
+    codes = [f"code {k:06d}" for k in range(40_000, 65_000)]
+    found = where_member(stored_names, "code", codes)
+    assert "GreaterThanOrEqual(code" in plan_of(found) and "LeftSemi" in plan_of(found)
+    assert found.count() == 25_000 and scanned_rows(found) < everything / 3
+    pairs = [(n, f"code {k:06d}") for k, n in enumerate(near)] + [(f"absent {k}", "x") for k in range(3000)]
+    found = where_any_pair(stored_names, "name", "code", pairs)
+    assert found.count() == 50 and scanned_rows(found) < everything / 3
+
+
+def test_covering_ranges_hold_every_value():
+    values = [f"{k * 7919 % 1000}é" for k in range(1000)] + ["\U0001d11e", "\uffee"]
+    spans = covering_ranges(values, 7)
+    assert len(spans) <= 7 and all(a.encode() <= b.encode() for a, b in spans)
+    assert all(any(a.encode() <= v.encode() <= b.encode() for a, b in spans) for v in values)
+    assert all(x[1].encode() < y[0].encode() for x, y in zip(spans, spans[1:]))
+    assert covering_ranges([]) == []
+
+
+def test_written_filters_are_there(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    names = spark.range(5000).selectExpr("concat('n', id) AS `Libellé de la commune`", "1 AS election")
+    sizes = []
+    for k, bloom in enumerate(((), ("Libellé de la commune",))):
+        replace_stations(names, f"{tmp_path}/{k}", bloom_on=bloom)
+        files = list((tmp_path / str(k)).rglob("*.parquet"))
+        sizes.append(sum(f.stat().st_size for f in files))
+        assert all(pq.ParquetFile(f).metadata.num_rows for f in files)
+    assert sizes[1] > sizes[0] + 5000
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_chunks_hold_what_lists_hold(spark, size):
+    pairs = [("a", f"{k * 37 % 501}é") for k in range(501)] * 2 + [("b", "x"), ("b", None), ("c", "z")]
+    stations = spark.createDataFrame(pairs, "d string, c string").repartition(5)
+    whole = dict(rows(communes_by_department(stations, ["a", "b"], "d", "c")))
+    chunks = rows(communes_in_chunks(stations, ["a", "b"], size, "d", "c").orderBy("d", "chunk"))
+    for label in ("a", "b"):
+        mine = [c for c in chunks if c[0] == label]
+        assert [c[1] for c in mine] == list(range(len(mine)))
+        assert all(len(c[2]) == size for c in mine[:-1]) and 0 < len(mine[-1][2]) <= size
+        assert [v for c in mine for v in c[2]] == [v for v in whole[label] if v is not None]
+    assert communes_in_chunks(stations, [], size, "d", "c").collect() == []
