@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ from isoloir.operators import (
     where_member,
     where_prefix,
 )
+from isoloir.operators.losses import Losses
 from isoloir.plans.build import build_stations, read_election
 from isoloir.plans.layers import (
     SHOWN_RATE,
@@ -45,9 +46,9 @@ from isoloir.plans.questions import (
     stations_in,
 )
 from isoloir.schema import ELECTION, FRANCE_2017, FRANCE_2022, NA_TOKENS, SourceSpec
-from isoloir.session import scratch_folder
+from isoloir.session import scan_block, scratch_folder, stored
 from isoloir.sinks import ensure_database, replace_stations, replace_table, save_layer
-from isoloir.sources import clean_copy, read_delimited, read_stations
+from isoloir.sources import clean_copy, read_delimited, read_stations, splits_of
 from isoloir.versions import publish_stations, read_published
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -758,6 +759,60 @@ def headers_of_two_orders(spark, sf):
     return _typed_customer(read_delimited(spark, path, spec))
 
 
+def losses_of_build(spark, sf):
+    """What a build from files leaves out, counted while its stations are stored."""
+    place, losses = scratch_folder(spark, "files"), Losses()
+    sources.export_2017(spark, sf).write.options(header=True, sep=";").csv(f"{place}/export")
+    official = sources.official(spark, sf)
+    fields = F.concat_ws(";", *[F.coalesce(fn.col(n), F.lit("")) for n in official.columns])
+    # Every seventh station has two fields more than the header.
+    more = F.when(fn.col("Code du b.vote").cast("int") % 7 == 0, ";x;y").otherwise("")
+    lines = official.select(F.concat(fields, more).alias(";".join(official.columns)))
+    lines.write.options(header=True, sep="|").csv(f"{place}/official")
+    sources.geo(spark, sf).write.options(header=True).csv(f"{place}/geo")
+    paths = [f"{place}/{name}" for name in ("export", "official", "geo")]
+    built = read_election(spark, FRANCE_2017, *paths, losses=losses)
+    kept = stored(built, "built").count()
+    counts = {**losses.counts, "stations": kept}
+    row = [F.lit(n).cast("bigint").alias(name) for name, n in sorted(counts.items())]
+    return spark.range(1).select(*row)
+
+
+def mixed_encodings(spark, sf):
+    """One folder whose files are in two encodings; every third part has no accent."""
+    path = scratch_folder(spark, "mixed")
+    accent = F.when(F.col("p_partkey") % 3 == 0, "piece ").otherwise("pièce ")
+    parts = table(spark, sf, "part").select(
+        text("p_partkey").alias("numéro"), F.concat(accent, "p_name").alias("libellé"), "p_size"
+    )
+    for encoding, odd in (("UTF-8", 0), ("ISO-8859-1", 1)):
+        some = where_equals(parts.withColumn("odd", F.col("p_size") % 2), "odd", odd).drop("odd", "p_size")
+        some.write.mode("append").options(header=True, sep=";", encoding=encoding).csv(path)
+    spec = SourceSpec(columns=("libellé", "numéro"), otherwise="ISO-8859-1")
+    rows = read_delimited(spark, path, spec)
+    return rows.select(
+        fn.col("numéro").cast("bigint").alias("p_partkey"), fn.col("libellé").alias("name")
+    )
+
+
+def scan_splits(spark, sf):
+    """The byte ranges of a scan: none beyond the limit, and all rows of every file in them."""
+    path = scratch_folder(spark, "splits")
+    orders = table(spark, sf, "orders").select(text("o_orderkey").alias("key"), "o_orderpriority")
+    orders.write.options(header=True, sep=";", maxRecordsPerFile=4_000).csv(path)
+    with scan_block(spark, "32KB"):
+        found = stored(splits_of(read_delimited(spark, path, SourceSpec(columns=("key",)))), "found")
+    starts = Window.partitionBy("split_file").orderBy("split_start")
+    before = F.lag(F.col("split_start") + F.col("split_length"), 1, 0).over(starts)
+    gaps = found.withColumn("follows", before == F.col("split_start"))
+    return gaps.agg(
+        F.sum("rows").alias("rows"),
+        F.bool_and(F.col("split_length") <= 32 << 10).alias("within"),
+        F.bool_and("follows").alias("whole"),
+        (F.count("*") > F.count_distinct("split_file")).alias("split"),
+    )
+
+
 def replaced_together(spark, sf):
     """Two statuses change in one version, one of them to nothing; both versions are read."""
     path = scratch_folder(spark, "versions")
@@ -848,6 +903,9 @@ QUERIES: dict[str, Query] = {
     "clean_copy": copied_without_gaps,
     "geo_split_scan": geo_split_scan,
     "headers_of_two_orders": headers_of_two_orders,
+    "losses_of_build": losses_of_build,
+    "mixed_encodings": mixed_encodings,
+    "scan_splits": scan_splits,
     "replaced_together": replaced_together,
     "layer_follows_stations": layer_follows_stations,
 }

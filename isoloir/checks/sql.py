@@ -359,6 +359,27 @@ ORACLE: dict[str, str] = {
               FROM (SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS nation, c_name FROM customer
                     WHERE c_nationkey % 2 = 0))
         GROUP BY 1, 2""",
+    "losses_of_build": f"""
+        WITH places AS (SELECT * FROM supplier WHERE s_nationkey <> 3),
+        matched AS (SELECT count(*) AS n FROM ({REBUILT}))
+        SELECT (SELECT count(*) FROM customer) AS export_read,
+               CAST(0 AS BIGINT) AS export_ragged,
+               (SELECT count(*) FROM customer WHERE c_mktsegment = 'HOUSEHOLD') AS export_incomplete,
+               (SELECT count(*) FROM supplier) AS official_read,
+               (SELECT count(*) FROM supplier WHERE s_suppkey % 10000 % 7 = 0) AS official_ragged,
+               (SELECT count(*) FROM supplier) AS places_read,
+               CAST(0 AS BIGINT) AS places_ragged,
+               (SELECT count(*) FROM places) - (SELECT n FROM matched) AS geo_left_alone,
+               (SELECT count(*) FROM supplier WHERE s_acctbal >= 0) - (SELECT n FROM matched)
+                   AS geo_right_alone,
+               (SELECT count(*) FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')
+                   + (SELECT n FROM matched) AS stations""",
+    "mixed_encodings": """
+        SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'piece ' ELSE 'pièce ' END || p_name AS name
+        FROM part""",
+    "scan_splits": """
+        SELECT CAST(count(*) AS BIGINT) AS rows, true AS within, true AS whole, true AS split
+        FROM orders""",
     "replaced_together": """
         SELECT o_orderkey, o_totalprice, o_orderstatus, 1 AS version FROM orders
         UNION ALL

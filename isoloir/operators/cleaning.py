@@ -5,25 +5,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isoloir.functions.columns import col
 from isoloir.functions.text import strict_cast
+from isoloir.operators.losses import Losses
 from isoloir.schema import STATION_SCHEMA
 
 
-def drop_incomplete(df: DataFrame, required: Sequence[str] | None = None) -> DataFrame:
+def drop_incomplete(
+    df: DataFrame,
+    required: Sequence[str] | None = None,
+    losses: Losses | None = None,
+    name: str = "rows",
+) -> DataFrame:
     """Rows where every required column (default: all) has a value.
 
     Written as one conjunction of ``IS NOT NULL`` so that a columnar source
-    can skip by it.
+    can skip by it. With ``losses``, which see every row, the others are counted
+    as ``<name>_incomplete``.
     """
     names = df.columns if required is None else required
     kept = None
-    for name in names:
-        present = col(name).isNotNull()
+    for wanted in names:
+        present = col(wanted).isNotNull()
         kept = present if kept is None else kept & present
-    return df if kept is None else df.where(kept)
+    if kept is None:
+        return df
+    if losses is not None:
+        df = losses.watch(df, **{f"{name}_incomplete": F.count_if(~kept)})
+    return df.where(kept)
 
 
 def conform(df: DataFrame, schema: T.StructType = STATION_SCHEMA) -> DataFrame:

@@ -75,6 +75,7 @@ class SourceSpec:
     line breaks inside quoted fields; a file of that kind is one scan task, but files
     of more than ``split_above`` bytes together are cut into records by many tasks.
     ``partitions`` spreads the rows after the scan, for files that one task reads.
+    ``otherwise`` is the encoding of those files of a folder that are no valid UTF-8.
     """
 
     separator: str = ";"
@@ -85,6 +86,7 @@ class SourceSpec:
     multiline: bool = False
     split_above: int = 64 << 20
     partitions: int | None = None
+    otherwise: str | None = None
 
 
 @dataclass(frozen=True)

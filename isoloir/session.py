@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,18 @@ def session_builder(
     )
 
 
+@contextmanager
+def scan_block(spark: SparkSession, size: str) -> Iterator[None]:
+    """Scans that run in this block read at most so many bytes of a file in a task."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new path below a folder that the driver and all executors share.
 

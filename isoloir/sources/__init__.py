@@ -1,6 +1,7 @@
 """Delimited files and stored station tables."""
 
 from isoloir.sources.delimited import clean_copy, read_delimited
+from isoloir.sources.splits import splits_of, with_splits
 from isoloir.sources.tables import read_layer, read_scales, read_stations, read_stations_jdbc
 
 __all__ = [
@@ -10,4 +11,6 @@ __all__ = [
     "read_scales",
     "read_stations",
     "read_stations_jdbc",
+    "splits_of",
+    "with_splits",
 ]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 #: Headers that are read at the same time.
 READERS = 16
@@ -69,6 +70,22 @@ def files_by_header(
     return found
 
 
+def files_by_encoding(
+    spark: SparkSession, path: str | list[str], files: Sequence[str], otherwise: str
+) -> dict[str, list[str]]:
+    """The files that are valid UTF-8, and those that are not under the encoding ``otherwise``.
+
+    One scan tests the bytes of every line where they are; one value for each file comes back.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    valid = F.bool_and(F.is_valid_utf8("value")).alias("valid")
+    tested = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(valid).where("NOT valid").collect()
+    jvm = spark._jvm
+    others = {jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r.file)).toString() for r in tested}
+    dealt = {"UTF-8": [f for f in files if f not in others], otherwise: [f for f in files if f in others]}
+    return {encoding: some for encoding, some in dealt.items() if some}
+
+
 def check_names(headers: dict[tuple[str, ...], list[str]], wanted: Sequence[str]) -> None:
     """Every header must have every wanted name, and must have it once."""
     for names, files in headers.items():

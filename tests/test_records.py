@@ -8,8 +8,10 @@ from contextlib import contextmanager
 import pytest
 from conftest import rows
 from isoloir.functions import col
-from isoloir.schema import SourceSpec
-from isoloir.sources import read_delimited, records
+from isoloir.operators.losses import Losses
+from isoloir.plans.build import read_election
+from isoloir.schema import FRANCE_2017, SourceSpec
+from isoloir.sources import read_delimited, records, splits_of, with_splits
 from isoloir.sources.headers import files_of, first_line, header_fields
 
 SPLIT = "spark.sql.files.maxPartitionBytes"
@@ -142,3 +144,56 @@ def test_first_lines(spark, tmp_path):
     assert [first_line(spark, f) for f in files] == ["é;b", "a;b"]
     assert header_fields('a;"b;""c""";', ";") == ("a", 'b;"c"', "")
     assert header_fields("a;b|1;2|3", ";", "|") == ("a", "b")
+
+
+# Encodings, losses, byte ranges
+
+
+@pytest.mark.parametrize("options", [{}, {"multiline": True}, {"multiline": True, "split_above": -1}])
+def test_files_of_two_encodings(spark, tmp_path, options):
+    (tmp_path / "u 1.csv").write_bytes("né;b\né中;1\n".encode())
+    (tmp_path / "l.csv").write_bytes("b;né\n2;è\n".encode("latin-1"))
+    (tmp_path / "ascii.csv").write_bytes(b"x;b\n")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "ascii.csv").unlink()
+    found = read_delimited(spark, str(tmp_path), SourceSpec(columns=("né", "b"), otherwise="ISO-8859-1", **options))
+    assert sorted(rows(found)) == [("è", "2"), ("é中", "1")]
+
+
+def test_losses_are_counted_while_the_rows_are_used(spark, files, tmp_path):
+    losses = Losses()
+    built = read_election(
+        spark, FRANCE_2017, files["export_2017.csv"], files["official_2017.txt"], files["geo.csv"], losses=losses
+    )
+    plain = read_election(spark, FRANCE_2017, files["export_2017.csv"], files["official_2017.txt"], files["geo.csv"])
+    assert sorted(rows(built), key=str) == sorted(rows(plain), key=str)
+    assert losses.counts == {
+        "export_read": 4, "export_ragged": 0, "export_incomplete": 2,
+        "official_read": 4, "official_ragged": 1, "places_read": 5, "places_ragged": 0,
+        # Of Paris, station 12 has no place, and place 0312 no result; another has no postal code.
+        "geo_left_alone": 1, "geo_right_alone": 1,
+    }
+
+
+def test_short_and_long_rows_are_ragged(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a;b;c\n1;2;3\n4;5\n6;7;8;9\n;;\n")
+    (tmp_path / "u.csv").write_text("c;a\n1;2\n3\n")
+    losses = Losses()
+    got = read_delimited(spark, str(tmp_path), SourceSpec(columns=("c", "a")), losses, "t")
+    assert sorted(rows(got), key=str) == [("1", "2"), ("3", "1"), ("3", None), ("8", "6"), (None, "4"), (None, None)]
+    assert losses.counts == {"t_read": 6, "t_ragged": 3}
+    whole = Losses()
+    assert read_delimited(spark, str(tmp_path / "t.csv"), SourceSpec(), whole, "t").count() == 4
+    assert whole.counts["t_ragged"] == 2
+
+
+def test_byte_ranges_cover_the_files(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a;b\n" + "1;xxxxxxxxxx\n" * 20_000)
+    with scan_blocks(spark, "32KB"):
+        found = rows(splits_of(read_delimited(spark, str(path), SourceSpec(columns=("a",)))))
+        tagged = with_splits(read_delimited(spark, str(path), SourceSpec(columns=("a",))))
+        assert tagged.columns == ["a", "split_file", "split_start", "split_length"]
+        assert tagged.where("split_start >= 32768").count() < 20_000
+    assert sum(n for *_, n in found) == 20_000 and len(found) >= 8
+    assert sum(length for _, _, length, _ in found) == path.stat().st_size
