@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from isoloir.llm import blocks, components, exact_dedup, ngram_join, shingling
@@ -52,6 +53,28 @@ def test_filter_misses_no_repeat_and_passes_most_others(spark):
     assert sum(r[2] for r in asked if r[1] == 1) < 400
 
 
+def test_a_filter_of_many_segments_passes_most_rows(spark, monkeypatch):
+    """Four times the rows that a segment is made for: a task holds one segment at a time."""
+    monkeypatch.setattr(exact_dedup, "SEGMENT", 1 << 20)
+    monkeypatch.setattr(exact_dedup, "WINDOW", 10_000)
+    rows = 1 << 18
+    assert exact_dedup.filter_size(rows) == (4, 1 << 20)
+    hashes = spark.range(rows).selectExpr("xxhash64(id % 260000) AS h").repartition(6)
+    ask = exact_dedup.may_repeat(hashes, rows)
+    asked = hashes.withColumn("asked", ask("h"))
+    asked = asked.groupBy("h").agg(F.count("*").alias("n"), F.bool_and("asked").alias("every"), F.bool_or("asked").alias("some"))
+    repeated, alone = asked.where("n > 1"), asked.where("n = 1")
+    assert repeated.count() == repeated.where("every").count() == rows - 260_000
+    assert alone.where("some").count() < 0.05 * alone.count()
+
+
+@pytest.mark.parametrize("segment", [1 << 20, 1 << 26])
+def test_groups_are_alike_whatever_the_segments(odd, monkeypatch, segment):
+    monkeypatch.setattr(exact_dedup, "SEGMENT", segment)
+    monkeypatch.setattr(exact_dedup, "filter_size", lambda rows: (3 if segment == 1 << 20 else 1, segment))
+    assert counted(exact_dedup.duplicate_groups(odd).collect()) == exact_groups(ODD_TEXTS)
+
+
 def test_full_filter_changes_no_result(odd, monkeypatch):
     monkeypatch.setattr(exact_dedup, "may_repeat", lambda hashes, rows: lambda h: F.lit(True))
     assert counted(exact_dedup.duplicate_groups(odd).collect()) == exact_groups(ODD_TEXTS)
