@@ -22,10 +22,11 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoloir.llm.common import rows_of, stored, text_of
+from isoloir.llm.exact_dedup import may_repeat
 from isoloir.llm.zip_archive import read_range, stored_members
 from isoloir.session import scratch_folder
 
@@ -113,22 +114,39 @@ def _open(path: str) -> tuple:
 
 
 def with_originals(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
-    """``page_id``, ``url``, ``html`` and ``original``: whose record a page's record refers to.
+    """``page_id``, ``url``, ``html``, ``original`` and ``first``.
 
-    Of pages with equal payloads the smallest id is the original; rows that repeat it
-    are originals too, and so are null ids of a group without any other.
+    Of pages with equal payloads the one with the smallest id is the original, ``first`` of
+    them; null ids come last. Of rows that repeat the smallest id, one is the first.
+
+    Only pages whose payload may have an equal are shuffled (``exact_dedup.may_repeat``), and
+    the groups are stored, so that Spark can split a payload that very many pages have.
     """
+    sha, none = F.sha1(F.encode("html", "UTF-8")), F.lit(None)
     picked = pages.select(
         F.col(page_id).cast("long").alias("page_id"),
         F.col(url).cast("string").alias("url"),
         text_of(html).alias("html"),
     )
-    sha = F.sha1(F.encode("html", "UTF-8"))
-    # Counted where the rows are; a payload that many pages have is one row per partition.
-    groups = picked.groupBy(sha.alias("sha")).agg(F.min("page_id").alias("original"), F.count("*").alias("n"))
-    repeated = groups.where("n > 1").select("sha", "original")
-    hashed = picked.withColumn("sha", sha)
-    return hashed.join(repeated, "sha", "left").drop("sha")
+    hashed = stored(picked.select("page_id", sha.alias("sha")), "payloads")
+    ask = may_repeat(hashed.select(F.xxhash64("sha").alias("h")), hashed.count())
+    # Counted where the rows are; a payload that many pages have is a row per page and task.
+    rows = hashed.where(ask(F.xxhash64("sha"))).groupBy("sha", "page_id").agg(F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("page_id").isNull(), F.col("page_id").alias("original"), F.col("n").alias("ties")))
+    groups = rows.groupBy("sha").agg(least.alias("least"), F.sum("n").alias("n"))
+    groups = stored(groups.where("n > 1").select("sha", "least.original", "least.ties"), "groups")
+
+    tagged = picked.withColumn("sha", sha).withColumn("asked", ask(F.xxhash64("sha")))
+    columns = ["page_id", "url", "html", "original", "first"]
+    alone = tagged.where("NOT asked").withColumns({"original": none.cast("long"), "first": F.lit(True)})
+    # A page that was asked for in vain has no group.
+    compared = tagged.where("asked").join(groups, "sha", "left")
+    compared = compared.withColumn("first", F.col("ties").isNull() | F.col("page_id").eqNullSafe(F.col("original")))
+    tied = F.coalesce(F.col("first") & (F.col("ties") > 1), F.lit(False))
+    place = F.row_number().over(Window.partitionBy("sha").orderBy("url"))
+    again = compared.where(tied).withColumn("first", place == 1)
+    parts = [alone, compared.where(~tied), again]
+    return parts[0].select(columns).unionByName(parts[1].select(columns)).unionByName(parts[2].select(columns))
 
 
 def write_packages(
@@ -139,8 +157,9 @@ def write_packages(
     """The manifest of the written packages: path, bytes, records. One record per row.
 
     The payload is the html in UTF-8, null as empty; a null url has an empty target, and
-    blanks and control characters of a url are percent-encoded. A record with the payload
-    of a page of smaller id is a revisit if it has ``revisit_from`` bytes. Other columns
+    blanks and control characters of a url are percent-encoded. Of records with equal
+    payloads of ``revisit_from`` bytes or more, the one with the smallest id (null last; of
+    rows that repeat it, one) is a response, the others revisit it. Other columns
     of ``pages`` are ignored; an empty table writes no package.
     """
     folder = scratch_folder(pages.sparkSession, "warc")
@@ -153,9 +172,9 @@ def write_packages(
             for row in rows_of(batch):
                 if package is None:
                     package = _Package(fs, base, folder)
-                payload, original = row["html"].encode(), row["original"]
-                first = original is None or original == row["page_id"] or len(payload) < revisit_from
-                refers_to = None if first else record_name(original)
+                payload = row["html"].encode()
+                first = row["first"] or len(payload) < revisit_from
+                refers_to = None if first else record_name(row["original"])
                 package.add(write_record(row["page_id"], row["url"], payload, refers_to))
                 if package.bytes >= package_bytes or len(package.lengths) >= package_records:
                     yield package.close()

@@ -32,17 +32,19 @@ def pages(spark):
     return spark.createDataFrame(rows, schema).repartition(3)
 
 
-def want():
-    ids = defaultdict(list)
-    for i, _, html in PAGES:
+def want(pages=PAGES):
+    ids, used = defaultdict(list), set()
+    for i, _, html in pages:
         ids[html or ""].append(i)
     out = []
-    for i, _, html in PAGES:
+    for i, _, html in pages:
         data = (html or "").encode()
         first = min((x for x in ids[html or ""] if x is not None), default=None)
-        revisit = first is not None and first != i
+        response = i == first and data not in used
+        if response:
+            used.add(data)
         digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
-        out.append((i, len(data), digest, "revisit" if revisit else "response", first if revisit else None))
+        out.append((i, len(data), digest, "response" if response else "revisit", None if response else first))
     return sorted(out, key=str)
 
 
@@ -76,6 +78,23 @@ def test_short_payloads_are_all_responses(pages):
     assert {r.payload_bytes for r in records if r.record_type == "revisit"} == {9}
 
 
+def test_half_of_all_pages_are_one_payload(spark):
+    """Also by pages without an id, and by rows that repeat the smallest one."""
+    rows = [(k, f"http://h{k}.example/", "empty" if k % 2 else f"page {k}") for k in range(1, 400)]
+    rows += [(1, "http://h1.example/", "empty")] * 5 + [(None, "http://n.example/", "empty")] * 3
+    rows += [(None, f"http://o{k % 2}.example/", "no id") for k in range(4)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = described(warc.read_records(warc.write_packages(docs), payload=False).collect())
+    assert got == want(rows) and sum(r[3] == "response" for r in got) == 201
+
+
+def test_only_repeated_payloads_are_shuffled(spark):
+    rows = [(k, "u", "twice" if k < 20 else f"page {k}") for k in range(5000)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    found = warc.with_originals(docs, "page_id", "url", "html")
+    assert found.where("first").count() == 4981 and found.where("original = 0").count() == 20
+
+
 def test_no_pages(pages):
     manifest = warc.write_packages(pages.where("false"))
     assert warc.read_records(manifest).collect() == []
