@@ -35,7 +35,7 @@ HEAVY = 1 / 4096
 #: What a dimension counts in the dot product: bytes, tokens, rows.
 WEIGHTS = (1.0, 0.05, 0.05)
 #: Bytes of text that rows of one hash range have, about.
-RANGE_BYTES = 64 << 20
+RANGE_BYTES = 16 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 _NONE = -1
