@@ -184,7 +184,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     Takes the rows as ``format_conversations`` leaves them: a conversation's turns in
     order and in one partition. ``turns_sha256`` is over role and text of each turn, both
-    followed by a line break; ``loss_sha256`` over all learned text.
+    followed by a line break; ``loss_sha256`` over all learned text. A null ``conv_id`` is a
+    conversation of its own; a turn that the template did not write raises; an empty table
+    gives an empty result.
     """
     key = formatted.schema["conv_id"].dataType.simpleString()
     fields = [f.split()[0] for f in DIGESTS.format(key="-").split(", ")]

@@ -28,7 +28,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    read.stored_at = path
+    return read
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of what ``stored`` returned, once nothing that is still to run reads them."""
+    for frame in frames:
+        spark = frame.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:

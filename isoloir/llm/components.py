@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoloir.llm.common import stored
+from isoloir.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b")
         least = near.groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        hooked = labels.join(least, "node").select(
+        hooked = labels.select("node", "comp").join(least, "node").select(
             "node", "comp", F.least("comp", "near").alias("next")
         )
         # What a node's label is now told by any of its nodes holds for the label too. Both
@@ -36,6 +36,9 @@ def components(links: DataFrame) -> DataFrame:
             moved.select(F.col("node").alias("at"), F.col("next").alias("further")), "at"
         )
         after = stored(jumped.select("node", "old", F.least("at", "further").alias("comp")), "labels")
-        if after.where("comp <> old").isEmpty():
+        # The next labels are files of their own; what they were made of is of no more use.
+        discard(labels, hooked, told)
+        labels, done = after, after.where("comp <> old").isEmpty()
+        if done:
+            discard(both)
             return after.select("node", "comp")
-        labels = after.select("node", "comp")

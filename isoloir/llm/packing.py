@@ -8,7 +8,8 @@ is used as often as the counts allow, then the next is sought. The plan has at m
 ten thousand combinations, however many documents there are.
 
 A piece finds its place by its rank among the pieces of its length. Ranks are counted in
-``BUCKETS`` parts, so a length that a third of the pieces have is no single task.
+parts of some ``BUCKET_PIECES`` pieces, so a length that a third of the pieces have is no
+single task, however many there are.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ from isoloir.llm.common import small_batches, stored, text_of
 from isoloir.llm.units import UnitEncoder, blocks_of
 
 CAPACITY = 2048
+#: Parts that ranks are counted in at least, and pieces that a part has, about.
 BUCKETS = 256
+BUCKET_PIECES = 100_000
 #: Parts that a worker keeps the ids of, and characters of texts encoded together, about.
 KEPT_PARTS = 150_000
 BLOCK_CHARS = 4_000_000
@@ -213,12 +216,14 @@ def places(plan: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
     return {length: np.array(r, np.int64) for length, r in rows.items()}
 
 
-def ranked(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with ``rank``: numbers from 0 among the pieces of a length."""
-    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS)).cast("int")
+def ranked(pieces: DataFrame, total: int = 0) -> DataFrame:
+    """``pieces``, of which there are ``total``, with ``rank``: from 0 among those of a length."""
+    buckets = max(BUCKETS, total // BUCKET_PIECES)
+    # Pieces of rows that share an id, or have none, differ by their tokens.
+    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int")
     dealt = pieces.withColumn("bucket", bucket)
     sizes = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    # At most BUCKETS rows a length.
+    # A row for each part of a length.
     so_far = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("first"))
     here = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
@@ -256,4 +261,4 @@ def pack_documents(
             columns += [pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(columns, [*names, "sequence_id", "offset"])
 
-    return ranked(pieces).mapInArrow(place, PLACED.format(key=key))
+    return ranked(pieces, sum(counts.values())).mapInArrow(place, PLACED.format(key=key))

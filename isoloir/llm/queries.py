@@ -156,6 +156,24 @@ _CONTROL = (
 )
 
 ORACLE = {
+    "op3_warc": r"""
+        WITH hashed AS (
+            SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS sha
+            FROM pages
+        ), placed AS (
+            SELECT *, min(page_id) OVER (PARTITION BY sha) AS original,
+                   row_number() OVER (PARTITION BY sha ORDER BY page_id NULLS LAST) AS place
+            FROM hashed
+        )
+        SELECT page_id, payload_bytes,
+               -- Base 32: of every five hexadecimal digits, four times five bits.
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((CAST('0x' || substr(sha, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31),
+                   1)), '') AS payload_digest,
+               CASE place WHEN 1 THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN place > 1 THEN original END AS refers_to
+        FROM placed""",
     "op5_lm_score": r"""
         WITH docs AS (
             SELECT doc_id,
@@ -211,6 +229,30 @@ ORACLE = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM hashed JOIN groups USING (text_sha256)""",
+    "op8_ngram_jaccard": r"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                    lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+            FROM docs
+        ), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM sets
+            UNION
+            SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+        )
+        SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(other) AS component_id
+        FROM sets s JOIN reached r ON r.doc_id = s.doc_id
+        GROUP BY s.doc_id, s.s""",
     "op12_fill_in_middle": r"""
         WITH hashed AS (
             SELECT doc_id, coalesce(text, '') AS text,

@@ -29,8 +29,10 @@ RULES = {
 PER_VERDICT = 1000
 SLOTS = 4096
 GRAMS = (2, 3, 4)
-STEPS = 16
-RATE = 8.0
+#: Steps of gradient descent, each with so much of the one before.
+STEPS = 24
+RATE = 4.0
+MOMENTUM = 0.9
 DECAY = 1e-4
 #: A url without a rule is blocked from this probability on.
 BLOCK_FROM = 0.5
@@ -108,7 +110,11 @@ class UrlModel:
 
 
 def labelled_urls(pages: DataFrame, rules: dict[str, str], url: str = "url") -> DataFrame:
-    """Different urls that a rule decides, with its verdict: ``PER_VERDICT`` of each."""
+    """Different urls that a rule decides, with its verdict: ``PER_VERDICT`` of each at most.
+
+    A null url, or one without ``://``, is decided by no rule. Repeated urls are one row;
+    an empty table gives an empty result; other columns are ignored.
+    """
     parts = pages.select(F.col(url).alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
     ruled = parts.withColumn("verdict", _verdict_of(rule_of("host", "path", rules), rules))
     distinct = ruled.where("verdict is not null").select("url", "verdict").distinct()
@@ -127,13 +133,19 @@ def _verdict_of(rule: Column, rules: dict[str, str]) -> Column:
 
 
 def train(labelled: DataFrame) -> UrlModel:
-    """Gradient descent; each step is a grouped sum that returns ``SLOTS`` rows at most."""
+    """A model of ``url`` and ``verdict`` rows; each step is a grouped sum of at most ``SLOTS`` rows.
+
+    Rows that repeat count each; a null url counts as one with empty parts, a null verdict as
+    none. The table must be bounded, as that of ``labelled_urls`` is. Without rows every url
+    scores one half. Other columns are ignored.
+    """
+    labelled = labelled.where("verdict IS NOT NULL")
     parts = labelled.select(host_of("url").alias("host"), path_of("url").alias("path"), "verdict")
     label = (F.col("verdict") == "block").cast("double").alias("label")
     # At most 2 * PER_VERDICT rows.
     rows = stored(with_slots(parts, "host", "path", "slots").select("slots", label).coalesce(1), "urls")
     total = rows.count()
-    model = UrlModel()
+    model, speed = UrlModel(), [0.0] * (SLOTS + 1)
     for _ in range(STEPS if total else 0):
         error = rows.select("slots", (model.score("slots") - F.col("label")).alias("error"))
         # Slot -1 stands for the bias.
@@ -143,12 +155,11 @@ def train(labelled: DataFrame) -> UrlModel:
             F.sqrt(F.size("slots")).alias("norm"),
         )
         change = F.when(F.col("slot") < 0, F.col("error")).otherwise(F.col("error") / F.col("norm"))
+        speed = [MOMENTUM * s for s in speed]
         for slot, value in spread.groupBy("slot").agg(F.sum(change)).collect():
-            if slot < 0:
-                model.bias -= RATE * value / total
-            else:
-                model.weights[slot] -= RATE * value / total
-        model.weights = [round(w * (1 - DECAY), 9) for w in model.weights]
+            speed[slot] -= RATE * value / total
+        model.weights = [round(w * (1 - DECAY) + s, 9) for w, s in zip(model.weights, speed, strict=False)]
+        model.bias += speed[-1]
     return model
 
 
