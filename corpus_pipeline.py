@@ -15,28 +15,49 @@ from isoloir.llm.queries import held_out, public_file
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules and their model keep."""
+    """Documents that the quality rules and their model keep.
+
+    A null or empty text goes. Without labels of both kinds among ``docs`` only the rules
+    decide; labels that contradict each other are left out. Rows that repeat are judged each.
+    An empty table stays empty; other columns pass through unchanged, as in every stage.
+    """
     return quality.keep_good(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic."""
+    """Documents that are not toxic.
+
+    A null or empty text stays. Without toxic and clean labels among ``docs`` all stay.
+    Rows that repeat are scored each; an empty table stays empty.
+    """
     labels = read_table(spark, sf_dir, "labels")
     return toxicity.keep_clean(docs, toxicity.train(docs, labels, ~held_out()))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal text, the first."""
+    """Of documents with equal text, the first.
+
+    Nulls and empty texts are equal texts. The smallest id stays, a null one last; of rows
+    that tie, any one. An empty table stays empty.
+    """
     return exact_dedup.keep_first(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that similarity links into a class, the first."""
+    """Of documents that similarity links into a class, the first.
+
+    Nulls and texts without words are in no class and stay. The smallest id stays, a null one
+    last; rows that repeat an id are documents each. An empty table stays empty.
+    """
     return ngram_join.keep_one(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents that are left, placed in sequences."""
+    """The pieces of all documents that are left, placed in sequences.
+
+    A null or empty text is one piece. Rows that repeat are packed each; an empty table gives
+    no pieces. The result has the columns of pieces, whatever those of ``docs`` are.
+    """
     return packing.pack_documents(docs, public_file("byte_bpe_50k.json"))
 
 
