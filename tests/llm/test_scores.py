@@ -307,6 +307,14 @@ def test_scores_match_brute_force(odd, order, least):
     assert rounded(counted(got)) == rounded(want)
 
 
+@pytest.mark.parametrize(("order", "least"), [(1, 2), (2, 2), (3, 2), (3, 5)])
+def test_rows_of_grams_give_the_same_scores(odd, none, order, least):
+    got = lm_scoring.score_relational(odd, order=order, least=least).collect()
+    rounded = lambda rows: Counter({(*r[:3], round(r[3], 3)): n for r, n in rows.items()})
+    assert rounded(counted(got)) == rounded(backoff_scores(ODD_TEXTS, order, 0.4, least))
+    assert lm_scoring.score_relational(none, order=order, least=least).collect() == []
+
+
 def test_scores_over_many_blocks(spark, monkeypatch):
     # Driver-side sizes: thirty blocks and several buckets.
     from isoloir.llm import blocks
