@@ -43,6 +43,10 @@ HEADLINE = (
     "typed_roundtrip",
     "delimited_roundtrip",
     "ragged_rows",
+    "communes_in_chunks",
+    "geo_split_scan",
+    "headers_of_two_orders",
+    "replaced_together",
 )
 
 
