@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from isoloir.session import scratch_folder
 
 #: Rows with whole texts that reach a Python worker at a time.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 #: ASCII white space, as a class for Java's and DuckDB's regular expressions.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -52,6 +53,17 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def give_back() -> None:
+    """Return the memory that a Python worker has freed, at the end of its task.
+
+    Workers stay for later stages, beside an executor that wants the memory for those.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_of(column: str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column), F.lit(""))

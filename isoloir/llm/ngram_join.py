@@ -49,7 +49,7 @@ from isoloir.llm.blocks import (
     requests,
     sums_of,
 )
-from isoloir.llm.common import free_name, small_batches, stored, string_bytes, text_of
+from isoloir.llm.common import free_name, give_back, small_batches, stored, string_bytes, text_of
 from isoloir.llm.components import components
 from isoloir.llm.shingling import shingle_sets_of, shingles
 
@@ -146,6 +146,7 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             counted = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
             columns = [batch.column(0), *counted, pa.array(np.diff(ends)), batch.column(2)]
             yield pa.RecordBatch.from_arrays(columns, names)
+        give_back()
 
     names = ["doc_id", "n_shingles", "node", "text_bytes", "text_hash"]
     picked = docs.select(
@@ -192,6 +193,8 @@ def signed_nodes(
         every = np.concatenate(found) >> cut if found else np.zeros(0, np.uint64)
         hashes, counts = np.unique(every, return_counts=True)
         asked = requests(group[0].as_py(), hashes, counts.astype(np.uint64), bits, buckets)
+        del found, every, hashes, counts
+        give_back()
         return pa.Table.from_pandas(asked, asked_schema, preserve_index=False)
 
     def sign(group: tuple, texts: pa.Table, right: pa.Table) -> pa.Table:
@@ -209,7 +212,10 @@ def signed_nodes(
                     common = [int((sets_with >= n).sum()) for n in (2, frequent)]
                     out.append((node, len(found), *common, pack.compress(said), single, pairs))
         columns = zip(*out, strict=True) if out else [[] for _ in signed_schema]
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, signed_schema, strict=True)], signed_schema)
+        signed = pa.table([pa.array(c, f.type) for c, f in zip(columns, signed_schema, strict=True)], signed_schema)
+        del own, out, columns
+        give_back()
+        return signed
 
     asked_schema = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
     lists = pa.list_(pa.int64())

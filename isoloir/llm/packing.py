@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isoloir.llm.common import small_batches, stored, text_of
+from isoloir.llm.common import give_back, small_batches, stored, text_of
 from isoloir.llm.units import UnitEncoder, blocks_of
 
 CAPACITY = 2048
@@ -151,6 +151,7 @@ def cut_documents(
                 columns = [pa.array(v, t) for v, t in zip(numbers, kinds, strict=True)]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *columns], names)
+        give_back()
 
     picked = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     return picked.mapInArrow(run, PIECES.format(key=key))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isoloir.llm.common import agreed_labels, bounded_sample, one_text_each, small_batches
+from isoloir.llm.common import agreed_labels, bounded_sample, give_back, one_text_each, small_batches
 from isoloir.llm.logistic import fit_dense, fit_sparse, sigmoid
 
 #: Labelled rows of each label that the model is fitted on, at most.
@@ -174,6 +174,8 @@ def measures(model: QualityModel, text: str = "text") -> Column:
                     reader = TextReader()
                 out.append(measure(text, model, reader))
             yield pd.DataFrame(out, columns=names)
+        del reader
+        give_back()
 
     return run(F.col(text).cast("string"))
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isoloir.llm.common import agreed_labels, bounded_sample, one_text_each, small_batches
+from isoloir.llm.common import agreed_labels, bounded_sample, give_back, one_text_each, small_batches
 from isoloir.llm.logistic import fit_dense, sigmoid
 
 #: Toxic documents the field is fitted on, at most; clean ones: twice as many.
@@ -461,6 +461,8 @@ def tag_documents(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: s
                 pa.array(marked, spans),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "n_toxic", "spans"])
+        vocabulary.forget()
+        give_back()
 
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return picked.mapInArrow(run, TAGGED.format(key=key))
@@ -480,5 +482,7 @@ def keep_clean(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
         for texts in batches:
             found = word_probabilities(texts.tolist(), field, vocabulary)
             yield pd.Series([document_score(t, field) for t in found], dtype="float64")
+        vocabulary.forget()
+        give_back()
 
     return docs.where(score(F.col(text).cast("string")) < TOXIC_FROM)
