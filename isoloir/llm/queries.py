@@ -180,24 +180,31 @@ ORACLE = {
                    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
             FROM documents
         ), spread AS (
-            SELECT doc_id, words[i] AS word, words[i - 1] AS previous, i
+            SELECT doc_id, words[i] AS word, words[i - 1] AS previous, words[i - 2] AS first, i
             FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM docs)
         ), singles AS (SELECT word, count(*) AS n FROM spread GROUP BY 1),
         pairs AS (
             SELECT previous, word, count(*) AS n FROM spread WHERE i > 1 GROUP BY 1, 2
+        ), triples AS (
+            SELECT first, previous, word, count(*) AS n FROM spread WHERE i > 2 GROUP BY 1, 2, 3
         ), scored AS (
             SELECT doc_id,
-                   CASE WHEN coalesce(p.n, 0) >= 2 THEN p.n / CAST(c.n AS DOUBLE)
-                        WHEN i = 1 THEN w.n / CAST((SELECT count(*) FROM spread) AS DOUBLE)
-                        ELSE w.n / CAST((SELECT count(*) FROM spread) AS DOUBLE) * CAST(0.4 AS DOUBLE)
-                   END AS score,
-                   i > 1 AND coalesce(p.n, 0) < 2 AS backoff
+                   CASE WHEN t.n >= 2 THEN t.n / CAST(b.n AS DOUBLE)
+                        WHEN p.n >= 2 THEN p.n / CAST(c.n AS DOUBLE)
+                        ELSE w.n / CAST((SELECT count(*) FROM spread) AS DOUBLE)
+                   END AS share,
+                   CASE WHEN t.n >= 2 THEN 0 WHEN p.n >= 2 THEN CAST(i > 2 AS INT)
+                        ELSE CAST(i > 1 AS INT) + CAST(i > 2 AS INT) END AS lost
             FROM spread s JOIN singles w USING (word)
-            LEFT JOIN pairs p ON s.i > 1 AND p.previous = s.previous AND p.word = s.word
             LEFT JOIN singles c ON c.word = s.previous
+            LEFT JOIN pairs p ON s.i > 1 AND p.previous = s.previous AND p.word = s.word
+            LEFT JOIN pairs b ON s.i > 2 AND b.previous = s.first AND b.word = s.previous
+            LEFT JOIN triples t
+                ON s.i > 2 AND t.first = s.first AND t.previous = s.previous AND t.word = s.word
         ), summed AS (
-            SELECT doc_id, count(*) AS n_words, count(*) FILTER (backoff) AS n_backoffs,
-                   CAST(sum(CAST(round(1e6 * ln(score)) AS BIGINT)) AS DOUBLE) / 1e6 AS log_score
+            SELECT doc_id, count(*) AS n_words, CAST(sum(lost) AS BIGINT) AS n_backoffs,
+                   CAST(sum(CAST(round(1e6 * ln(share * pow(CAST(0.4 AS DOUBLE), lost))) AS BIGINT))
+                        AS DOUBLE) / 1e6 AS log_score
             FROM scored GROUP BY 1
         )
         SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_backoffs, 0) AS n_backoffs,

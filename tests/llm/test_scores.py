@@ -328,3 +328,25 @@ def test_scores_over_many_blocks(spark, monkeypatch):
 
 def test_no_documents_have_no_scores(none):
     assert lm_scoring.score_documents(none).collect() == []
+
+
+def test_scores_of_long_and_of_empty_texts(spark, monkeypatch):
+    # Blocks of two thousand bytes: long texts are blocks of their own, empty ones share one.
+    from isoloir.llm import blocks
+
+    rows = [(1, ""), (2, None), (3, sentence(3, 3000)), (3, "a"), (4, " \n "), (5, sentence(3, 10)), (6, "a b a b")]
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 2000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert counted(lm_scoring.score_documents(docs).collect()) == backoff_scores(rows, lm_scoring.ORDER, 0.4, 2)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=200), st.integers(0, 64))
+def test_numbers_come_back_from_their_codings(values, bits):
+    from isoloir.llm.blocks import pack_dense, pack_small, unpack_dense, unpack_small
+
+    numbers = np.array(values, np.uint64) >> np.uint64(min(bits, 63))
+    assert unpack_small(pack_small(numbers)).tolist() == numbers.tolist()
+    ascending = np.unique(numbers)
+    assert unpack_dense(pack_dense(ascending)).tolist() == ascending.tolist()
+    assert lm_scoring.unpack_words(*lm_scoring.pack_words(numbers)).tolist() == numbers.tolist()
