@@ -160,18 +160,25 @@ class Grams:
         counts[found == self.EMPTY] = len(self.place)
         return found[found != 0], counts[found != 0].astype(np.uint64)
 
-    def sums(self, told: np.ndarray) -> np.ndarray:
-        """For every word and order, from the sums of the hashes that occur, what its n-gram has."""
-        found, place = np.unique(np.concatenate([[self.EMPTY], *self.hashes]), return_inverse=True)
+    def sums(self, told: np.ndarray) -> tuple[float, np.ndarray]:
+        """Of all words, and for every order and word of its n-gram, from ``counted``'s sums."""
+        every = np.concatenate([[self.EMPTY], *self.hashes])
+        every.sort()
+        found = every[np.append(True, every[1:] != every[:-1])]
+        del every
         total = np.zeros(len(found), np.float64)
         total[found != 0] = told
-        return total[place]
+        of = np.empty((len(self.hashes), len(self.place)))
+        # Order by order, so that a block's hashes are never sorted with their places at once.
+        for k, hashes in enumerate(self.hashes):
+            ascending = np.argsort(hashes)
+            of[k, ascending] = total[np.searchsorted(found, hashes[ascending])]
+        return total[np.searchsorted(found, self.EMPTY)], of
 
 
-def _score_words(grams: Grams, counts: np.ndarray, backoff: float, least: int) -> tuple:
+def _score_words(grams: Grams, everything: float, of: np.ndarray, backoff: float, least: int) -> tuple:
     """Millionths of the logarithm of each word's score, and the orders left out."""
-    order, n = len(grams.hashes), len(grams.place)
-    everything, of = counts[0], counts[1:].reshape(order, n)
+    order, n = of.shape
     score, left_out = np.zeros(n, np.int64), np.zeros(n, np.int64)
     open_ = np.ones(n, bool)
     for k in range(order, 0, -1):
@@ -207,7 +214,9 @@ def score_documents(
     picked = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     text_bytes = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, text_bytes // 6 * order // BUCKET_GRAMS)
-    dealt = blocks_of(picked, key, blocks.BLOCK_BYTES).groupBy("block")
+    # Words are held as numbers, so blocks are twice as large as those of texts: fewer n-grams
+    # are in several.
+    dealt = blocks_of(picked, key, 2 * blocks.BLOCK_BYTES).groupBy("block")
 
     def state(group: tuple, block: pa.Table) -> pa.Table:
         found, counts = _grams(block, order).counted()
@@ -218,7 +227,7 @@ def score_documents(
     def score(block: pa.Table, sums: pa.Table) -> pa.Table:
         grams = _grams(block, order)
         counts = grams.sums(sums_of(sums.to_pandas(), DENSE))
-        score, left_out = _score_words(grams, counts, backoff, least)
+        score, left_out = _score_words(grams, *counts, backoff, least)
         ends = np.cumsum(grams.sizes)
         run = [np.append(0, np.cumsum(v)) for v in (score, left_out)]
         by_doc = [r[ends] - r[ends - grams.sizes] for r in run]
